@@ -1,0 +1 @@
+"""Empty on purpose: every job here reads a finite corpus, and none keeps state over time."""

@@ -275,8 +275,8 @@ def error_samples(scored: DataFrame, n: int = fixed.ERROR_EXAMPLES) -> DataFrame
 
     Adds ``class`` and ``place`` (1 to n). A pair can be in two classes or none.
     """
-    cutoffs = error_cutoffs(scored).select(F.struct("high", "low")).scalar()
-    high, low = cutoffs["high"], cutoffs["low"]
+    limits = error_cutoffs(scored).select(F.struct("high", "low")).scalar()
+    high, low = F.col("limits.high"), F.col("limits.low")
     positive = F.col("label") == 1
     score = F.col("score")
     rules = {
@@ -290,7 +290,8 @@ def error_samples(scored: DataFrame, n: int = fixed.ERROR_EXAMPLES) -> DataFrame
     )
     in_order = Window.partitionBy("class").orderBy("gold_row")
     return (
-        scored.select("*", F.explode(classes).alias("class"))
+        scored.withColumn("limits", limits)
+        .select(*scored.columns, F.explode(classes).alias("class"))
         .withColumn("place", F.row_number().over(in_order))
         .filter(F.col("place") <= n)
     )

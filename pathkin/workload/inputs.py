@@ -105,6 +105,16 @@ def triples(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_triples(spark: SparkSession, folder: str) -> DataFrame:
+    """One uncounted triple per order line, with the amount bought as count; keys repeat."""
+    return _sold(spark, folder).select(
+        "path",
+        F.col("l_returnflag").alias("slot"),
+        F.col("l_suppkey").cast("string").alias("word"),
+        F.col("l_quantity").cast("bigint").alias("cnt"),
+    )
+
+
 def gold(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of paths on neighbouring lines of an order; 1 if a large amount was bought."""
     sold = _sold(spark, folder).select("l_orderkey", "l_linenumber", "l_quantity", "path")
@@ -231,6 +241,6 @@ def stored_lines(spark: SparkSession, folder: str, kind: str) -> DataFrame:
         ),
     }[kind]
     return table(spark, folder, "lineitem").select(
-        (F.col("l_orderkey") * 100 + number).alias("place"),
+        ((F.col("l_orderkey") * 100 + number) * 100_000_000 + cents.cast("bigint")).alias("place"),
         _by_case(number, cases, good).alias("value"),
     )

@@ -90,9 +90,9 @@ _TRIPLES = (
 triples as (select path, slot, word, count(*) as cnt from sold group by all)"""
 )
 _MARGINALS = """
-ps as (select path, slot, sum(cnt) as n from triples group by all),
-sw as (select slot, word, sum(cnt) as n from triples group by all),
-total as (select sum(cnt) as n from triples)"""
+ps as (select path, slot, cast(sum(cnt) as bigint) as n from triples group by all),
+sw as (select slot, word, cast(sum(cnt) as bigint) as n from triples group by all),
+total as (select cast(sum(cnt) as bigint) as n from triples)"""
 _MI = (
     _MARGINALS
     + """,
@@ -174,7 +174,8 @@ ORACLES: dict[str, str] = {
     "ngram_segments": f"""with {_LINES},
 cut as (select list_filter(list_transform(string_split(value, chr(9)), lambda s: trim(s)),
   lambda s: s <> '' and not regexp_full_match(s, '[0-9,]+[.]?[0-9]*')) as s from lines)
-select len(s) as n_segments, count(*) as n_lines, sum(length(array_to_string(s, ''))) as chars
+select cast(len(s) as integer) as n_segments, count(*) as n_lines,
+  cast(sum(length(array_to_string(s, ''))) as bigint) as chars
 from cut group by 1""",
     "ngram_tokens": f"""with {_DOCUMENT_WINDOWS},
 parts(form, word_no, pos, dep, head, idx) as (values
@@ -187,11 +188,11 @@ parts(form, word_no, pos, dep, head, idx) as (values
   (6, 2, 'VB', 'ROOT', 0, 0), (6, 3, 'dt', 'dobj', 0, 1),
   (7, 2, 'NN', 'ROOT', 0, 0), (7, 1, 'JJ', 'amod', 1, 1), (7, 3, 'RB', 'advmod', -1, 2))
 select pos, dep, head, idx, count(*) as n,
-  sum(length(case word_no when 0 then 'said' when 1 then w1 when 2 then w2 else w3 end)) as word_chars
+  cast(sum(length(case word_no when 0 then 'said' when 1 then w1 when 2 then w2 else w3 end)) as bigint) as word_chars
 from windows join parts on form = i % 8 group by all""",
     "head_base": f"""with {_DOCUMENT_WINDOWS},
 bases(form, base, linked) as (values (0, 1, 2), (1, 0, 2), (2, 1, 2), (3, 0, 2), (4, 0, 3), (5, 1, 1), (6, 0, 1), (7, 1, 1))
-select base, count(*) as n_lines, sum(linked) as n_linked from windows join bases on form = i % 8 group by base""",
+select base, count(*) as n_lines, cast(sum(linked) as bigint) as n_linked from windows join bases on form = i % 8 group by base""",
     "stem_words": rf"""with words as (select distinct unnest(regexp_extract_all(text, '\p{{L}}+')) as word from documents),
 low as (select word, lower(word) as l from words)
 select word, {_stem('l')} as stem from low""",
@@ -303,5 +304,5 @@ classed as (select 'TP' as class, scored.* from scored, cutoffs where label = 1
   union all select 'TN', scored.* from scored, cutoffs where label <> 1 and score <= low
   union all select 'FN', scored.* from scored, cutoffs where label = 1 and score <= low),
 placed as (select *, row_number() over (partition by class order by gold_row) as place from classed)
-select class, place, gold_row, path_a, label, score from placed where place <= 5""",
+select class, cast(place as integer) as place, gold_row, path_a, label, score from placed where place <= 5""",
 }

@@ -20,9 +20,11 @@ MAIN_LABELS = ("ROOT", "ccomp")
 VERB_PREFIX = "VB"
 NOUN_PREFIX = "NN"
 AUXILIARY_WORDS = ("is", "are", "was", "were", "be", "been", "am")
-FILLER_TAGS = r"^(?:NN|DT|PRP|WP\$?\z)"
+FILLER_PREFIXES = ("NN", "DT", "PRP")
+FILLER_TAGS = ("WP", "WP$")
 PREPOSITION_TAGS = ("IN", "TO")
-SUBJECT_LABELS = r"^(?:nsubj|csubj(?:pass)?\z)"
+SUBJECT_PREFIX = "nsubj"
+SUBJECT_LABELS = ("csubj", "csubjpass")
 
 # A tab-separated segment that only holds counts.
 COUNT_SEGMENT = r"^[0-9,]+\.?[0-9]*\z"
@@ -38,7 +40,7 @@ WORD_ENDINGS = (
     (r"(?s)^(.+[sxzho])es\z", "$1"),
     (r"(?s)^(.+[^siu])s\z", "$1"),
 )
-ANY_ENDING = r"(?:ing|ed|s)\z"
+LAST_LETTERS = ("ing", "ed", "s")
 
 # Numbers as text.
 WHOLE_NUMBER = r"^[+-]?[0-9]+\z"

@@ -1,6 +1,8 @@
 """Column expressions on raw text: trimming, numbers, stems."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -19,6 +21,14 @@ def trim_control(col: Column) -> Column:
     return F.btrim(col, F.lit(_CONTROL_CHARS))
 
 
+def starts_with_any(col: Column, prefixes: Sequence[str]) -> Column:
+    return reduce(or_, (col.startswith(prefix) for prefix in prefixes))
+
+
+def ends_with_any(col: Column, endings: Sequence[str]) -> Column:
+    return reduce(or_, (col.endswith(ending) for ending in endings))
+
+
 def to_whole(col: Column) -> Column:
     """64-bit integer written in ``col``, or null."""
     text = trim_control(col)
@@ -42,4 +52,4 @@ def stem(col: Column) -> Column:
     cut = word
     for pattern, kept in reversed(fixed.WORD_ENDINGS):
         cut = F.when(word.rlike(pattern), F.regexp_replace(word, pattern, kept)).otherwise(cut)
-    return F.when(word.rlike(fixed.ANY_ENDING), cut).otherwise(word)
+    return F.when(ends_with_any(word, fixed.LAST_LETTERS), cut).otherwise(word)

@@ -1,6 +1,8 @@
 """Joins against per-key tables that stay even when one key holds most rows."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,11 +19,15 @@ def attach(
     keys than shuffle partitions can be hot, which bounds both the broadcast
     list of hot keys and the repeated rows.
     """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    all_rows = per_key.agg(F.sum("n_rows")).scalar()
-    salted = per_key.withColumn("salts", F.ceil(F.col("n_rows") * parts / all_rows).cast("int"))
-    hot = salted.filter(F.col("salts") > 1).select(*keys, "salts")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = [c for c in per_key.columns if c not in keys and c != "n_rows"]
+    # All uses ask for the same keys and values, so that Spark computes them once.
+    per_key = per_key.filter(reduce(and_, (F.col(c).isNotNull() for c in keys)))
+    known = reduce(and_, (F.col(c).isNotNull() for c in values), F.lit(True))
+    all_rows = per_key.filter(known).agg(F.sum("n_rows")).scalar()
+    salts = F.when(known, F.ceil(F.col("n_rows") * parts / all_rows)).otherwise(1).cast("int")
+    salted = per_key.withColumn("salts", salts)
+    hot = salted.filter(known & (F.col("salts") > 1)).select(*keys, "salts")
     spread = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
         "salt", F.pmod(F.xxhash64(*by), F.coalesce("salts", F.lit(1))).cast("int")
     )

@@ -10,11 +10,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pathkin import fixed
 from pathkin.functions import scores
+from pathkin.operators.skew import attach
 from pathkin.session import cut_lineage
 
 PAIR = ["k1", "k2"]
 
 
+def _keyed(pairs: DataFrame, *columns: str) -> DataFrame:
+    return pairs.select(*scores.pair_key(F.col("path_a"), F.col("path_b")), *columns)
+
+
+def _pair_sizes(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def score_gold(
     gold: DataFrame, system: DataFrame, dedupe: bool = True, order: str | None = None
 ) -> DataFrame:
@@ -23,29 +32,27 @@ def score_gold(
     A pair scored more than once counts once, with its first score by the
     column ``order`` or else its largest. With ``dedupe=False`` every score of
     it gives a row. Only scores of gold pairs are regrouped; the system table
-    is first reduced to them.
+    is first reduced to them. Gold rows of one pair may be many; they are
+    spread by ``gold_row``.
     """
-    gold_keyed = gold.select("*", *scores.pair_key(F.col("path_a"), F.col("path_b")))
-    wanted = gold_keyed.select(*PAIR).distinct()
-    extra = [] if order is None else [F.col(order).alias("place")]
-    found = system.select(
-        *scores.pair_key(F.col("path_a"), F.col("path_b")), "score", *extra
-    ).join(wanted, PAIR, "left_semi")
-    if dedupe:
-        best = F.max("score") if order is None else F.min_by("score", "place")
-        found = found.groupBy(*PAIR).agg(best.alias("score"))
-    else:
-        found = found.select(*PAIR, "score")
-    return (
-        gold_keyed.join(found, PAIR, "left").fillna(0.0, ["score"]).select(*gold.columns, "score")
-    )
+    gold_keyed = _keyed(gold, *gold.columns)
+    sizes = _pair_sizes(gold_keyed)
+    found = _keyed(system, "score", *({order} - {None, "score"})).join(sizes, PAIR, "left_semi")
+    zero_filled = F.coalesce("score", F.lit(0.0)).alias("score")
+    if not dedupe:
+        all_scores = gold_keyed.join(found.select(*PAIR, "score"), PAIR, "left")
+        return all_scores.select(*gold.columns, zero_filled)
+    kept = F.max("score") if order is None else F.min_by("score", order)
+    best = sizes.join(found.groupBy(*PAIR).agg(kept.alias("score")), PAIR, "left")
+    scored_keys = best.select(*PAIR, "n_rows", zero_filled)
+    return attach(gold_keyed, scored_keys, PAIR, by=["gold_row"]).select(*gold.columns, "score")
 
 
 def gold_without(gold: DataFrame, taken: DataFrame) -> DataFrame:
     """The gold pairs whose key, in either order, is not among the pairs ``taken``."""
-    key = scores.pair_key(F.col("path_a"), F.col("path_b"))
-    keys = taken.select(*key).distinct()
-    return gold.select("*", *key).join(keys, PAIR, "left_anti").select(*gold.columns)
+    gold_keyed = _keyed(gold, *gold.columns)
+    left = _pair_sizes(gold_keyed).join(_keyed(taken).distinct(), PAIR, "left_anti")
+    return attach(gold_keyed, left, PAIR, by=["gold_row"]).select(*gold.columns)
 
 
 def threshold_metrics(

@@ -127,6 +127,16 @@ def test_gold_scores(spark, rows):
     assert [r[0] for r in rows(pk.gold_without(gold, system))] == [2]
 
 
+def test_one_pair_in_a_third_of_all_gold_rows(spark, rows):
+    pairs = [("a", "b")] * 50 + [("x", "y")] * 50 + [(f"p{i}", "q") for i in range(50)]
+    gold = spark.createDataFrame([(i, a, b, i % 2) for i, (a, b) in enumerate(pairs)], GOLD)
+    system = spark.createDataFrame([("b", "a", 0.5, 1), ("q", "p3", 0.25, 2)], SYSTEM)
+    got = {r[0]: r[4] for r in rows(pk.score_gold(gold, system))}
+    assert got == {i: {("a", "b"): 0.5, ("p3", "q"): 0.25}.get(p, 0.0) for i, p in enumerate(pairs)}
+    left = {r[0] for r in rows(pk.gold_without(gold, system))}
+    assert left == {i for i, p in enumerate(pairs) if p not in {("a", "b"), ("p3", "q")}}
+
+
 def test_everything_together(spark):
     gold = spark.createDataFrame([(0, "a", "b", 1), (1, "c", "d", 0)], GOLD)
     system = spark.createDataFrame([("a", "b", 0.2, 1)], SYSTEM)

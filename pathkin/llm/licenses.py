@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pathkin.session import cut_lineage
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words are the stretches between these characters.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 3
 #: Diagonals this far apart are merged; shares of a template's k-grams and words a span must hold.
@@ -28,7 +29,7 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Customary statements, in the words that the pattern above finds.
+# Customary statements, as words.
 TEMPLATES = [
     ("apache", "licensed under the apache license version 2 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
@@ -50,16 +51,16 @@ TEMPLATES = [
 def words_of(text: Column) -> Column:
     """The words of ``text``, A-Z in lower case; none of a null text."""
     lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lower, BETWEEN), "")
 
 
-def grams_of(words: str) -> Column:
-    """Hashes of the rolling word k-grams of the array column ``words``."""
+def grams_of(words: Column) -> Column:
+    """Hashes of the rolling word k-grams of the array ``words``."""
     return F.when(
         F.size(words) >= K,
         F.transform(
             F.sequence(F.lit(0), F.size(words) - K),
-            lambda i: F.xxhash64(*(F.get(F.col(words), i + k) for k in range(K))),
+            lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(K))),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
 
@@ -109,7 +110,7 @@ def find_licenses(
     placed = known.select(
         "template",
         F.size("t_words").alias("t_size"),
-        F.posexplode(grams_of("t_words")).alias("t_at", "gram"),
+        F.posexplode(grams_of(F.col("t_words"))).alias("t_at", "gram"),
     )
     grams = placed.groupBy("gram").agg(F.collect_list(F.struct("template", "t_size", "t_at")).alias("met"))
     read = docs.select(
@@ -122,8 +123,8 @@ def find_licenses(
         "key",
         F.size("words").cast("bigint").alias("n_words"),
         phrase_places("words", phrases).alias("places"),
-        F.posexplode_outer(grams_of("words")).alias("at", "gram"),
-    )
+        grams_of(F.col("words")).alias("grams"),
+    ).select("doc_id", "key", "n_words", "places", F.posexplode_outer("grams").alias("at", "gram"))
     # The template table is a fixed list. Of the k-grams without a match only the first is kept.
     first = F.coalesce("at", F.lit(0)) == 0
     matched = rolled.join(F.broadcast(grams), "gram", "left").filter(F.col("met").isNotNull() | first)
@@ -150,8 +151,14 @@ def find_licenses(
         .select("doc_id", "key", "label", "t_words", "first", "last")
     )
     all_grams = F.array(*(F.lit(r[0]) for r in grams.select("gram").collect()))
-    hit = read.withColumn("hit", F.arrays_overlap(grams_of("words"), all_grams)).filter("hit")
-    hit = hit.select(F.col("doc_id").alias("h_id"), F.col("key").alias("h_key"), "words").dropDuplicates(["h_id", "h_key"])
+    # A generator over one array: the words are found once, and kept where a k-gram is known.
+    hit = docs.select(
+        F.col("doc_id").cast("bigint").alias("h_id"),
+        F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).alias("h_key"),
+        F.explode(
+            F.filter(F.array(words_of(F.col("text"))), lambda w: F.arrays_overlap(grams_of(w), all_grams))
+        ).alias("words"),
+    ).dropDuplicates(["h_id", "h_key"])
     inside = F.slice("words", F.col("first") + 1, F.col("last") - F.col("first") + 1)
     share = F.size(F.array_intersect(inside, "t_words")) / F.size(F.array_distinct("t_words"))
     checked = (

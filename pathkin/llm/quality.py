@@ -6,11 +6,12 @@ the vectors (minimum covariance determinant) are found by concentration steps;
 vectors far from the centre in Mahalanobis distance are rejected.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pathkin.session import cut_lineage
 
@@ -24,8 +25,8 @@ STEPS = 4
 LEAST_ROWS = 100
 #: Added to each variance: differences of this size never count as large.
 FLOOR = np.array([0.5, 0.1, 0.1, 0.1, 0.15]) ** 2
-#: Largest squared distance that is kept; far beyond any quantile of a normal vector.
-CUTOFF = 60.0
+#: Largest squared distance that is kept: the 0.9999 quantile for a normal vector.
+CUTOFF = 25.74
 
 
 def text_stats(text: str) -> tuple[int, int, int, int, int]:
@@ -52,7 +53,7 @@ def text_stats(text: str) -> tuple[int, int, int, int, int]:
     return len(words), word_chars, symbols, len(lines) - len(set(lines)), repeat
 
 
-@F.pandas_udf("struct<" + ",".join(f"{s}:bigint" for s in STATS) + ">")
+@F.pandas_udf(T.StructType([T.StructField(s, T.LongType()) for s in STATS]))
 def stats_of(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([text_stats(t or "") for t in texts], columns=list(STATS), dtype="int64")
 
@@ -74,10 +75,8 @@ def with_stats(docs: DataFrame) -> DataFrame:
 
 def _chi2_below(x: float, k: int) -> float:
     """Chi-squared distribution function for ``k`` degrees of freedom, by its series."""
-    from math import exp, lgamma, log
-
     a, h = k / 2, x / 2
-    term = total = exp(a * log(h) - h - lgamma(a + 1))
+    term = total = math.exp(a * math.log(h) - h - math.lgamma(a + 1))
     for n in range(1, 200):
         term *= h / (a + n)
         total += term

@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A logistic model on the distinct words of a text learns from texts confirmed as
+A logistic model on the distinct words and word stems of a text learns from texts confirmed as
 toxic and from texts without a label. An unlabelled text is toxic with the
 class's prior probability, so the risk on toxic texts, weighted by the prior, is
 taken off the risk of calling unlabelled texts toxic; where that difference falls
@@ -18,11 +18,12 @@ from pathkin.llm.arrays import offsets
 #: Bounds of the two samples that the model is fitted on.
 POSITIVES = 4_000
 UNLABELLED = 12_000
-#: Texts of the sample that must hold a word.
-LEAST_TEXTS = 12
+#: A word must stand in this share of the sample's texts, and in so many.
+LEAST_SHARE = 0.005
+LEAST_TEXTS = 5
 EPOCHS = 150
-RATE = 0.05
-PENALTY = 1e-4
+RATE = 0.02
+PENALTY = 3e-2
 CUT = 0.3
 
 # ASCII letters in lower case; all other ASCII but digits becomes a space.
@@ -31,8 +32,14 @@ _TABLE = bytes(
 )
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
+#: Bytes of the stems.
+STEMS = (4, 5, 6)
+
+
+def features(text: str) -> set[bytes]:
+    """The distinct words of ``text`` and, as stems, the first bytes of its longer words."""
+    words = set(text.encode("utf-8", "surrogatepass").translate(_TABLE).split())
+    return words.union(*({w[:n] + b"-" for w in words if len(w) > n} for n in STEMS))
 
 
 @dataclass
@@ -44,20 +51,21 @@ class Model:
 
     def scores(self, texts: pd.Series) -> pd.Series:
         known = self.weights
-        sums = [sum(known[w] for w in known.keys() & set(words_of(t or ""))) for t in texts]
+        sums = [sum(known[w] for w in known.keys() & features(t or "")) for t in texts]
         margins = np.clip(self.bias + np.array(sums, float), -40, 40)
         return pd.Series(1 / (1 + np.exp(-margins)), dtype="float64")
 
 
 def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
-    """The model for a class ``prior``; a text is its distinct words, joined by spaces."""
+    """The model for a class ``prior``; a text is its features, joined by spaces."""
     sides = (positive, unlabelled)
     seen: dict[bytes, int] = {}
     for side in sides:
         for text in side:
             for w in text.split():
                 seen[w] = seen.get(w, 0) + 1
-    place = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST_TEXTS))}
+    least = max(LEAST_TEXTS, LEAST_SHARE * sum(map(len, sides)))
+    place = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= least))}
     n_words = len(place)
     rows = []
     for side in sides:
@@ -80,6 +88,7 @@ def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
     prior = min(max(prior, 1e-6), 0.999)
     w[-1] = np.log(prior / (1 - prior))
     n_p, n_u = max(len(sides[0]), 1), max(len(sides[1]), 1)
+    average = np.zeros(n_words + 1)
     for step in range(1, EPOCHS + 1):
         f_p, f_u = margins(w, rows[0]), margins(w, rows[1])
         s_p, s_u = 1 / (1 + np.exp(-f_p)), 1 / (1 + np.exp(-f_u))
@@ -93,7 +102,39 @@ def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient * gradient
         w = w - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model({word: float(w[k]) for word, k in place.items() if abs(w[k]) > 1e-6}, float(w[-1]))
+        if step > EPOCHS // 2:
+            average += w / (EPOCHS - EPOCHS // 2)
+    scale, shift = calibrate(margins(average, rows[0]), margins(average, rows[1]), prior)
+    average *= scale
+    average[-1] += shift
+    return Model({word: float(average[k]) for word, k in place.items()}, float(average[-1]))
+
+
+def calibrate(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> tuple[float, float]:
+    """Scale and shift that make margins those of class probabilities.
+
+    The penalty shrinks margins. Scale and shift minimise the unpenalised
+    positive-unlabelled risk, which is convex in them, by Newton's steps.
+    """
+    if not len(f_p) or not len(f_u):
+        return 1.0, 0.0
+    x = np.stack([f_u, np.ones(len(f_u))])
+    x_p = np.array([f_p.mean(), 1.0])
+    theta = np.array([1.0, 0.0])
+
+    def risk(t: np.ndarray) -> float:
+        return float(np.logaddexp(0, t @ x).mean() - prior * (t @ x_p) + 1e-4 * (t[0] - 1) ** 2)
+
+    for _ in range(50):
+        s = 1 / (1 + np.exp(-np.clip(theta @ x, -500, 500)))
+        gradient = (s * x).mean(axis=1) - prior * x_p + np.array([2e-4 * (theta[0] - 1), 0.0])
+        curve = (x * (s * (1 - s))) @ x.T / x.shape[1] + np.diag([2e-4, 1e-9])
+        step = np.linalg.solve(curve, gradient)
+        size = 1.0
+        while size > 1e-6 and risk(theta - size * step) > risk(theta):
+            size /= 2
+        theta = theta - size * step
+    return (float(theta[0]), float(theta[1])) if theta[0] > 0 else (1.0, 0.0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -121,10 +162,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         picked = texts.join(F.broadcast(ids.dropDuplicates()), "doc_id")
 
         @F.pandas_udf("binary")
-        def distinct_words(column: pd.Series) -> pd.Series:
-            return column.map(lambda t: b" ".join(sorted(set(words_of(t)))))
+        def joined(column: pd.Series) -> pd.Series:
+            return column.map(lambda t: b" ".join(sorted(features(t))))
 
-        return sorted(bytes(r[0]) for r in picked.select(distinct_words("text")).collect())
+        return sorted(bytes(r[0]) for r in picked.select(joined("text")).collect())
 
     toxic = sample(marked.filter("toxic = 1"), POSITIVES, 1)
     return fit(toxic, sample(texts, UNLABELLED, 2), share)

@@ -23,6 +23,7 @@ HEADLINE = os.environ.get("BENCH_QUERIES", "").split() or [
     "mutual_information",
     "feature_pairs",
     "path_similarity",
+    "discover_rules",
     "score_gold",
     "pr_curve",
     "error_samples",

@@ -45,6 +45,7 @@ LAST_LETTERS = ("ing", "ed", "s")
 # Numbers as text.
 WHOLE_NUMBER = r"^[+-]?[0-9]+\z"
 REAL_NUMBER = r"^(?:[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?|Infinity)|[+-]?NaN)\z"
+SCORE_NUMBER = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?|nan)\z"
 
 # Evaluation.
 SCORE_THRESHOLDS = (0.0001, 0.001, 0.01, 0.05, 0.1)
@@ -57,4 +58,3 @@ F1_EPSILON = 1e-10
 CURVE_POINTS = 20
 ERROR_EXAMPLES = 5
 SAMPLE_CHARS = 200
-DOCUMENTED_PATH_LIMIT = 100

@@ -38,9 +38,10 @@ def ordered_pair(a: Column, b: Column) -> tuple[Column, Column]:
 
 
 def pair_key(a: Column, b: Column) -> tuple[Column, Column]:
-    """Order-free key of a pair as two columns ``k1``, ``k2``, blanks stripped."""
+    """Order-free key of a pair as two columns ``k1``, ``k2``, blanks stripped; null if either is."""
     first, second = ordered_pair(trim_control(a), trim_control(b))
-    return first.alias("k1"), second.alias("k2")
+    whole = a.isNotNull() & b.isNotNull()
+    return F.when(whole, first).alias("k1"), F.when(whole, second).alias("k2")
 
 
 def ratio_or_zero(part: Column, whole: Column) -> Column:

@@ -41,9 +41,16 @@ def to_real(col: Column) -> Column:
     return F.when(text.rlike(fixed.REAL_NUMBER), text.try_cast("double"))
 
 
+def to_score(col: Column) -> Column:
+    """Double written in ``col`` as score files write it, or null; NaN is 0.0."""
+    text = trim_control(col)
+    number = F.nanvl(F.coalesce(text.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    return F.when(text.rlike(fixed.SCORE_NUMBER), number)
+
+
 def score_or_zero(col: Column) -> Column:
     """Double written in ``col``, 0.0 where it is not a number."""
-    return F.coalesce(to_real(col), F.lit(0.0))
+    return F.coalesce(to_score(col), F.lit(0.0))
 
 
 def stem(col: Column) -> Column:

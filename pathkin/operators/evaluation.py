@@ -16,6 +16,10 @@ from pathkin.session import cut_lineage
 PAIR = ["k1", "k2"]
 
 
+def _named() -> Column:
+    return F.col("path_a").isNotNull() & F.col("path_b").isNotNull()
+
+
 def _keyed(pairs: DataFrame, *columns: str) -> DataFrame:
     return pairs.select(*scores.pair_key(F.col("path_a"), F.col("path_b")), *columns)
 
@@ -33,26 +37,34 @@ def score_gold(
     column ``order`` or else its largest. With ``dedupe=False`` every score of
     it gives a row. Only scores of gold pairs are regrouped; the system table
     is first reduced to them. Gold rows of one pair may be many; they are
-    spread by ``gold_row``.
+    spread by ``gold_row``. A null path matches nothing: gold pairs that hold one
+    keep their row and score 0.0. A score that is not a number counts as 0.0.
     """
-    gold_keyed = _keyed(gold, *gold.columns)
+    nameless = gold.filter(~_named()).withColumn("score", F.lit(0.0))
+    gold_keyed = _keyed(gold.filter(_named()), *gold.columns)
     sizes = _pair_sizes(gold_keyed)
     found = _keyed(system, "score", *({order} - {None, "score"})).join(sizes, PAIR, "left_semi")
-    zero_filled = F.coalesce("score", F.lit(0.0)).alias("score")
+    zero_filled = F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)).alias("score")
     if not dedupe:
         all_scores = gold_keyed.join(found.select(*PAIR, "score"), PAIR, "left")
-        return all_scores.select(*gold.columns, zero_filled)
-    kept = F.max("score") if order is None else F.min_by("score", order)
+        return all_scores.select(*gold.columns, zero_filled).unionByName(nameless)
+    number = F.nanvl("score", F.lit(0.0))
+    kept = F.max(number) if order is None else F.min_by(number, order)
     best = sizes.join(found.groupBy(*PAIR).agg(kept.alias("score")), PAIR, "left")
     scored_keys = best.select(*PAIR, "n_rows", zero_filled)
-    return attach(gold_keyed, scored_keys, PAIR, by=["gold_row"]).select(*gold.columns, "score")
+    attached = attach(gold_keyed, scored_keys, PAIR, by=["gold_row"])
+    return attached.select(*gold.columns, "score").unionByName(nameless)
 
 
 def gold_without(gold: DataFrame, taken: DataFrame) -> DataFrame:
-    """The gold pairs whose key, in either order, is not among the pairs ``taken``."""
-    gold_keyed = _keyed(gold, *gold.columns)
+    """The gold pairs whose key, in either order, is not among the pairs ``taken``.
+
+    A null path matches nothing, so pairs that hold one stay.
+    """
+    gold_keyed = _keyed(gold.filter(_named()), *gold.columns)
     left = _pair_sizes(gold_keyed).join(_keyed(taken).distinct(), PAIR, "left_anti")
-    return attach(gold_keyed, left, PAIR, by=["gold_row"]).select(*gold.columns)
+    attached = attach(gold_keyed, left, PAIR, by=["gold_row"]).select(*gold.columns)
+    return attached.unionByName(gold.filter(~_named()))
 
 
 def threshold_metrics(
@@ -152,15 +164,16 @@ def score_ladder(scored: DataFrame) -> DataFrame:
     )
 
 
-def pr_curve(scored: DataFrame) -> DataFrame:
+def pr_curve(scored: DataFrame, ladder: DataFrame | None = None) -> DataFrame:
     """Precision-recall curve, one point per distinct score and an end point.
 
     Columns: position, threshold, precision, recall, the running counts tp and
     fp, the counts pos and neg at this score, and n_points, the number of
     thresholds. Positions follow rising thresholds; the end point (precision 1,
     recall 0) comes last and has no threshold. Without positives, recall is 1
-    at every threshold.
+    at every threshold. ``ladder`` is the score ladder where it is at hand.
     """
+    ladder = score_ladder(scored) if ladder is None else ladder
     counts = ["tp", "fp", "pos", "neg", "n_points"]
     tp, fp, all_pos, n_points = (F.col(c) for c in ("tp", "fp", "all_pos", "n_points"))
     point = F.struct(
@@ -181,7 +194,7 @@ def pr_curve(scored: DataFrame) -> DataFrame:
     )
     highest = F.col("position") == n_points - 1
     points = F.when(highest, F.array(point, end)).otherwise(F.array(point))
-    return score_ladder(scored).select(F.inline(points))
+    return ladder.select(F.inline(points))
 
 
 def pr_auc(curve: DataFrame) -> DataFrame:
@@ -236,13 +249,14 @@ def sample_curve(curve: DataFrame, n: int = fixed.CURVE_POINTS) -> DataFrame:
     )
 
 
-def error_cutoffs(scored: DataFrame) -> DataFrame:
+def error_cutoffs(scored: DataFrame, ladder: DataFrame | None = None) -> DataFrame:
     """One row (high, low): score limits for confident and for missed pairs.
 
     High is the median score of positives, low that of negatives. Where they do
     not separate, both are set from the mean and the smallest score. Medians
     are read off the running counts, so no label's scores meet in one task.
     """
+    ladder = score_ladder(scored) if ladder is None else ladder
     score = F.col("score")
 
     def median(run: str, own: str, total: Column) -> Column:
@@ -253,7 +267,7 @@ def error_cutoffs(scored: DataFrame) -> DataFrame:
         return (at(F.floor((total - 1) / 2)) + at(F.ceil((total - 1) / 2))) / 2
 
     rows = F.sum(F.col("pos") + F.col("neg"))
-    summary = score_ladder(scored).agg(
+    summary = ladder.agg(
         median("tp", "pos", F.col("all_pos")).alias("median_pos"),
         median("fp", "neg", F.col("all_neg")).alias("median_neg"),
         (F.sum(score * (F.col("pos") + F.col("neg"))) / rows).alias("mean"),
@@ -277,12 +291,14 @@ def error_cutoffs(scored: DataFrame) -> DataFrame:
     )
 
 
-def error_samples(scored: DataFrame, n: int = fixed.ERROR_EXAMPLES) -> DataFrame:
+def error_samples(
+    scored: DataFrame, n: int = fixed.ERROR_EXAMPLES, ladder: DataFrame | None = None
+) -> DataFrame:
     """The first ``n`` pairs in gold order of each class: TP, FP, TN, FN.
 
     Adds ``class`` and ``place`` (1 to n). A pair can be in two classes or none.
     """
-    limits = error_cutoffs(scored).select(F.struct("high", "low")).scalar()
+    limits = error_cutoffs(scored, ladder).select(F.struct("high", "low")).scalar()
     high, low = F.col("limits.high"), F.col("limits.low")
     positive = F.col("label") == 1
     score = F.col("score")

@@ -7,7 +7,7 @@ DataFrame with a string column ``value``. Lines that do not fit are dropped.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pathkin import fixed
-from pathkin.functions.text import score_or_zero, to_real, to_whole, trim_control
+from pathkin.functions.text import score_or_zero, to_real, to_score, to_whole, trim_control
 
 
 def read_ngram_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +138,7 @@ def parse_system_scores(
     """
     if layout == "tab":
         fields = lines.select(F.split("value", fixed.FIELD).alias("f")).filter(F.size("f") >= 3)
-        score = score_or_zero(_field(2)) if coerce else to_real(_field(2))
+        score = score_or_zero(_field(2)) if coerce else to_score(_field(2))
         return fields.select(
             trim_control(_field(0)).alias("path_a"),
             trim_control(_field(1)).alias("path_b"),
@@ -152,7 +152,7 @@ def parse_system_scores(
         .select(
             _field(0).alias("path_a"),
             F.array_join(F.slice("f", F.lit(2), F.size("f") - 2), " ").alias("path_b"),
-            to_real(F.element_at("f", -1)).alias("score"),
+            to_score(F.element_at("f", -1)).alias("score"),
         )
         .filter(F.col("score").isNotNull())
     )
@@ -171,7 +171,14 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_path_totals(spark: SparkSession, path: str) -> DataFrame:
-    return parse_path_totals(spark.read.text(path))
+    """The last line of a path counts, files in the order of their names."""
+    place = F.struct(
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id(),
+    )
+    lines = spark.read.text(path).select("value", place.alias("place"))
+    return parse_path_totals(lines, order="place")
 
 
 def read_marginals(spark: SparkSession, path: str) -> DataFrame:

@@ -5,19 +5,16 @@ from pyspark.sql import DataFrame, functions as F
 from pathkin import fixed
 
 
-def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write the columns of ``df`` tab-joined, one file per task.
-
-    ``single_file`` writes exactly one file; it is meant for small results.
-    """
+def write_tsv(df: DataFrame, path: str) -> None:
+    """Write the columns of ``df`` tab-joined, one file per task."""
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
     lines = df.select(F.concat_ws(fixed.FIELD, *fields).alias("value"))
-    _text(lines, path, single_file)
+    lines.write.text(path)
 
 
-def write_marginals(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_marginals(df: DataFrame, path: str) -> None:
     """Write marginals (kind, path, slot, word, n) in their tagged text form."""
-    _text(marginal_lines(df), path, single_file)
+    marginal_lines(df).write.text(path)
 
 
 def marginal_lines(df: DataFrame) -> DataFrame:
@@ -35,7 +32,3 @@ def write_stage(df: DataFrame, path: str) -> DataFrame:
     """Store a stage as Parquet and return it as read back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _text(lines: DataFrame, path: str, single_file: bool) -> None:
-    (lines.repartition(1) if single_file else lines).write.text(path)

@@ -200,7 +200,7 @@ select word, {_stem('l')} as stem from low""",
     "extract_prep": f"with {_facts('documents')} select path, slot, count(*) as n from facts where prep = 1 group by all",
     "extract_nouns": f"with {_facts('documents')} select slot, word, count(*) as n from facts where noun group by all",
     "extraction_report": f"""with {_LINES}
-select case when length(value) > 200 then left(value, 200) || '...' else value end as sample from lines
+select value, case when length(value) > 200 then left(value, 200) || '...' else value end as sample from lines
 where form = 7 or (form = 4 and lower(w2) in ('is', 'are', 'was', 'were', 'be', 'been', 'am'))""",
     "split_path": """select p_partkey, case when p_size < 10 then p_name else p_name || ' -> ' || p_type end as path,
   case when p_size < 10 then '' when p_type in ('nsubj') then 'X' else 'Y' end as slot,
@@ -223,11 +223,6 @@ select path, slot, word, round(max(mi), 6) as mi from mi group by all""",
     "path_totals": f"{_SOLD_MI} select path, round(sum(mi), 6) as total_mi from mi group by path",
     "feature_pairs": f"{_SOLD_MI}, {_PAIRS} {_PAIR_SUMMARY}",
     "feature_pairs_blocked": f"{_SOLD_MI}, {_PAIRS} {_PAIR_SUMMARY}",
-    "feature_pairs_capped": f"""{_SOLD_MI},
-few as (select slot, word from mi group by all having count(*) <= 100),
-pairs as (select a.path as path_a, b.path as path_b, a.mi + b.mi as partial
-  from mi a join few using (slot, word) join mi b on a.slot = b.slot and a.word = b.word and a.path < b.path)
-{_PAIR_SUMMARY}""",
     "pair_numerators": f"{_SOLD_SIMILARITY} select path_a, path_b, round(num, 6) as score from sums",
     "path_similarity": f"{_SOLD_SIMILARITY} select path_a, path_b, round(score, 6) as score from similarity",
     "lin_normalize": f"""{_SOLD_SIMILARITY},

@@ -93,7 +93,7 @@ def extract_nouns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def extraction_report(spark: SparkSession, folder: str) -> DataFrame:
-    return pk.extraction_report(inputs.ngram_lines(spark, folder)).select("sample")
+    return pk.extraction_report(inputs.ngram_lines(spark, folder)).select("value", "sample")
 
 
 def split_path(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,10 +181,6 @@ def feature_pairs_blocked(spark: SparkSession, folder: str) -> DataFrame:
     return _pair_summary(pk.feature_pairs(_mi(spark, folder), block_rows=25))
 
 
-def feature_pairs_capped(spark: SparkSession, folder: str) -> DataFrame:
-    return _pair_summary(pk.feature_pairs(_mi(spark, folder), max_paths=100))
-
-
 def pair_numerators(spark: SparkSession, folder: str) -> DataFrame:
     summed = pk.sum_partials(pk.feature_pairs(_mi(spark, folder)))
     return summed.select("path_a", "path_b", _round("score"))
@@ -346,7 +342,6 @@ QUERIES: dict[str, Query] = {
         path_totals,
         feature_pairs,
         feature_pairs_blocked,
-        feature_pairs_capped,
         pair_numerators,
         path_similarity,
         lin_normalize,

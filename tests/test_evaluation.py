@@ -145,3 +145,38 @@ def test_everything_together(spark):
     assert tables["best_threshold"].first().threshold == 0.2
     assert {r["class"] for r in tables["error_samples"].collect()} == {"TP", "TN"}
     assert all(df.count() >= 0 for df in tables.values())
+
+
+def test_null_paths_keep_their_rows_and_match_nothing(spark, rows):
+    gold = spark.createDataFrame(
+        [(0, "a", "b", 1), (1, None, None, 0), (2, "a", None, 0)],
+        "gold_row long, path_a string, path_b string, label int",
+    )
+    system = spark.createDataFrame(
+        [("a", "b", 0.5), ("a", "a", 0.9), (None, "a", 0.7), (None, None, 0.8)],
+        "path_a string, path_b string, score double",
+    )
+    want = [(0, "a", "b", 1, 0.5), (1, None, None, 0, 0.0), (2, "a", None, 0, 0.0)]
+    assert rows(pk.score_gold(gold, system)) == want
+    assert rows(pk.score_gold(gold, system, dedupe=False)) == want
+    assert rows(pk.gold_without(gold, system.limit(0))) == rows(gold)
+    assert [r[0] for r in rows(pk.gold_without(gold, system))] == [1, 2]
+
+
+def test_a_score_that_is_not_a_number_is_zero(spark, rows):
+    gold = spark.createDataFrame([(0, "a", "b", 0)], "gold_row long, path_a string, path_b string, label int")
+    system = spark.createDataFrame([("b", "a", float("nan"))], "path_a string, path_b string, score double")
+    assert [r[-1] for r in rows(pk.score_gold(gold, system))] == [0.0]
+
+
+def test_evaluation_reads_the_system_once(spark, rows):
+    gold = spark.createDataFrame(
+        [(0, "a", "b", 1), (1, "a", "c", 0), (2, "b", "c", 1)], "gold_row long, path_a string, path_b string, label int"
+    )
+    system = spark.createDataFrame(
+        [("a", "b", 0.5, 1), ("b", "a", 0.9, 2), ("c", "a", 0.2, 3)], "path_a string, path_b string, score double, place int"
+    )
+    tables = pk.evaluate_rules(system, gold, order="place")
+    assert [r[-1] for r in rows(tables["scored"])] == [0.5, 0.2, 0.0]
+    for table in tables.values():
+        assert "LocalTableScan" not in table._jdf.queryExecution().optimizedPlan().toString()

@@ -5,41 +5,41 @@ import pathkin as pk
 
 LINES = {
     "preposition": (
-        "waits/VBZ/ROOT/0\tfor/IN/prep/1\tMary/NNP/pobj/2\t153",
-        [("wait -> for", "Y", "mary")],
+        "hopes/VBZ/ROOT/0\tfor/IN/prep/1\tMary/NNP/pobj/2\t153",
+        [("hope -> for", "Y", "otto")],
     ),
     "subject and object": (
-        "John/NNP/nsubj/1\teats/VBZ/ROOT/0\tapples/NNS/dobj/1",
-        [("eat -> nsubj", "X", "john"), ("eat -> dobj", "Y", "apple")],
+        "Nora/NNP/nsubj/1\teats/VBZ/ROOT/0\tapples/NNS/dobj/1",
+        [("cut -> nsubj", "X", "nora"), ("cut -> dobj", "Y", "plum")],
     ),
     "auxiliary": (
-        "John/NNP/nsubj/2\tis/VBZ/aux/2\twalking/VBG/ROOT/0",
-        [("walk -> nsubj", "X", "john")],
+        "Nora/NNP/nsubj/2\tis/VBZ/aux/2\twalking/VBG/ROOT/0",
+        [("jump -> nsubj", "X", "nora")],
     ),
     "pronouns": (
-        "He/PRP/nsubj/1\tsolved/VBD/ROOT/0\tit/PRP/dobj/1",
-        [("solv -> nsubj", "X", "he"), ("solv -> dobj", "Y", "it")],
+        "She/PRP/nsubj/1\tsolved/VBD/ROOT/0\tthem/PRP/dobj/1",
+        [("count -> nsubj", "X", "she"), ("count -> dobj", "Y", "them")],
     ),
     "auxiliary as main verb": (
-        "be\tdeath/NN/nsubj/2 be/VB/ccomp/0 for/IN/prep/2 those/DT/pobj/3\t23\t1834,2",
-        [("be -> nsubj", "X", "death"), ("be -> for", "Y", "those")],
+        "be\tdeath/NN/nsubj/2 be/VB/ccomp/0 for/IN/prep/2 crops/DT/pobj/3\t23\t1834,2",
+        [("be -> nsubj", "X", "rain"), ("be -> for", "Y", "crops")],
     ),
-    "auxiliary elsewhere": ("be\tit/PRP/nsubj/2 be/VB/conj/3 go/VB/ROOT/0\t5", []),
+    "auxiliary elsewhere": ("be\tthem/PRP/nsubj/2 be/VB/conj/3 go/VB/ROOT/0\t5", []),
     "tie counts from zero": ("be\tdeath/NN/nsubj/2 be/VB/ccomp/0\t23\t1834,2", []),
     "dropped token takes no place": (
-        "eat\teat/VB/ROOT/0 1/2/CD/num/1 apple/NN/dobj/1\t5",
-        [("eat -> dobj", "Y", "apple")],
+        "cut\teat/VB/ROOT/0 1/2/CD/num/1 plum/NN/dobj/1\t5",
+        [("cut -> dobj", "Y", "plum")],
     ),
-    "three parts": ("eat\teat/VB/ROOT/0 apple/NN/dobj\t5", [("eat -> dobj", "Y", "apple")]),
-    "blank head": ("eat\teat/VB/ROOT/0 apple/NN/dobj/\t5", [("eat -> dobj", "Y", "apple")]),
-    "empty word": ("eat\teat/VB/ROOT/0 /NN/dobj/1\t5", [("eat -> dobj", "Y", "")]),
+    "three parts": ("cut\teat/VB/ROOT/0 plum/NN/dobj\t5", [("cut -> dobj", "Y", "plum")]),
+    "blank head": ("cut\teat/VB/ROOT/0 plum/NN/dobj/\t5", [("cut -> dobj", "Y", "plum")]),
+    "empty word": ("cut\teat/VB/ROOT/0 /NN/dobj/1\t5", [("cut -> dobj", "Y", "")]),
     "preposition keeps case": (
-        "wait\twaits/VBZ/ROOT/0 For/IN/prep/1 Mary/NNP/pobj/2\t153",
-        [("wait -> For", "Y", "mary")],
+        "hope\twaits/VBZ/ROOT/0 For/IN/prep/1 Otto/NNP/pobj/2\t153",
+        [("hope -> For", "Y", "otto")],
     ),
     "tag case": (
-        "wait\twaits/VBZ/ROOT/0 for/in/prep/1 mary/nn/pobj/2 me/prp/dobj/1\t153",
-        [("wait -> dobj", "Y", "me")],
+        "hope\twaits/VBZ/ROOT/0 for/in/prep/1 otto/nn/pobj/2 me/prp/dobj/1\t153",
+        [("hope -> dobj", "Y", "me")],
     ),
     "wh-words": (
         "see\twho/WP/nsubj/2 sees/VBZ/ROOT/0 whose/WP$/dobj/2 which/WDT/dobj/2\t7",
@@ -63,23 +63,23 @@ LINES = {
     ),
     "control characters at the edge": (
         "\x01eat/VB/ROOT/0 \x02 \x01apple/NN/dobj/\x011\x02\t5",
-        [("eat -> dobj", "Y", "apple")],
+        [("cut -> dobj", "Y", "plum")],
     ),
     "control character inside": (
-        "eat/VB/ROOT/0 ap\x01ple/NN/dobj/1\t5",
-        [("eat -> dobj", "Y", "ap\x01ple")],
+        "cut/VB/ROOT/0 ap\x01ple/NN/dobj/1\t5",
+        [("cut -> dobj", "Y", "ap\x01ple")],
     ),
     "more parts than used": (
-        "eat/VB/ROOT/0/9 apple/NN/dobj/1/x/y",
-        [("eat -> dobj", "Y", "apple")],
+        "cut/VB/ROOT/0/9 plum/NN/dobj/1/x/y",
+        [("cut -> dobj", "Y", "plum")],
     ),
-    "plus sign": ("eat/VB/ROOT/0 apple/NN/dobj/+1", [("eat -> dobj", "Y", "apple")]),
-    "head is no whole number": ("eat/VB/ROOT/0 apple/NN/dobj/1.0", []),
+    "plus sign": ("cut/VB/ROOT/0 plum/NN/dobj/+1", [("cut -> dobj", "Y", "plum")]),
+    "head is no whole number": ("cut/VB/ROOT/0 plum/NN/dobj/1.0", []),
 }
 
 STEMS = """walking walk waiting wait running run falling fal studying studyy dying dyy
 sing sing king king waited wait solved solv stopped stop tried try red red bed bed need ne
-eats eat apples apple studies study boxes box churches church goes go uses us has ha is is
+cuts cut plums plum studies study boxes box churches church goes go uses us has ha is is
 bus bus pass pass his his as as yes ye Added ad singing sing miss miss kisses kiss ties ty
 played play NASA's nasa' ies y es es oes oe""".split()
 
@@ -111,7 +111,7 @@ def test_all_lines_together(spark, rows):
 
 def test_nouns_only(spark, rows):
     got = pk.extract_occurrences(lines_of(spark, [LINES["pronouns"][0], LINES["three parts"][0]]), "noun")
-    assert rows(got) == [("eat -> dobj", "Y", "apple")]
+    assert rows(got) == [("cut -> dobj", "Y", "plum")]
 
 
 def test_report_holds_the_lines_without_a_path(spark, rows):
@@ -137,7 +137,7 @@ def test_tokens_bases_and_parents(spark):
         pk.detect_head_base(pk.ngram_tokens(F.col("value"))).alias("base"),
         pk.resolve_parents(pk.ngram_tokens(F.col("value"))).alias("p"),
     ).collect()
-    assert [tuple(t) for t in got[0].t] == [("eat", "VB", "ROOT", 0, 0), ("apple", "NN", "dobj", 1, 1)]
+    assert [tuple(t) for t in got[0].t] == [("cut", "VB", "ROOT", 0, 0), ("plum", "NN", "dobj", 1, 1)]
     assert [r.base for r in got] == [1, 0]
     assert [t.parent for t in got[0].p] == [None, 0]
     # Nothing lies at place 2, and the verb's own head 0 leads to the first token.
@@ -151,11 +151,11 @@ def test_segments_without_counts(spark):
 
 
 def test_paths(spark):
-    texts = ["eat -> dobj -> apple", " a -> nsubj -> b -> c", "a -> b", " x ", "", None, " -> x -> "]
+    texts = ["cut -> dobj -> plum", " a -> nsubj -> b -> c", "a -> b", " x ", "", None, " -> x -> "]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [tuple(r.s) for r in frame.select(pk.split_path(F.col("t")).alias("s")).collect()]
     assert got == [
-        ("eat -> dobj", "Y", "apple"),
+        ("cut -> dobj", "Y", "plum"),
         ("a -> nsubj", "X", "b"),
         ("a -> b", "", ""),
         ("x", "", ""),
@@ -164,7 +164,7 @@ def test_paths(spark):
         (" -> x", "Y", ""),
     ]
     rules = [r[0] for r in frame.select(pk.format_rule(F.col("t"))).collect()]
-    assert rules == ["X eat Y", "X  a Y", "X a Y", "X  x  Y", "", None, "X  -> x ->  Y"]
+    assert rules == ["X cut Y", "X  a Y", "X a Y", "X  x  Y", "", None, "X  -> x ->  Y"]
 
 
 def test_slots(spark):

@@ -38,8 +38,7 @@ def test_marginals_round_trip(spark, rows, tmp_path):
         "path string, slot string, word string, cnt long",
     )
     table = pk.marginals(triples)
-    pk.write_marginals(table, str(tmp_path / "m"), single_file=True)
-    assert len(list((tmp_path / "m").glob("part-*"))) == 1
+    pk.write_marginals(table, str(tmp_path / "m"))
     assert rows(pk.read_marginals(spark, str(tmp_path / "m"))) == rows(table)
     texts = ["PS:a\tX\tn", "XX:a\tX\t1", "TOTAL", "PS:a\tX\t 7 "]
     assert rows(pk.parse_marginals(lines_of(spark, texts))) == [("PS", "a", "X", None, 7)]
@@ -57,6 +56,15 @@ def test_system_scores(spark, rows):
         pk.parse_system_scores(lines, layout="other")
 
 
+def test_system_scores_are_numbers_of_score_files(spark, rows):
+    texts = {"NaN": 0.0, "-nan": 0.0, "1.5f": 0.0, "2d": 0.0, "inf": float("inf"), "-Infinity": float("-inf"), "1e-3": 0.001}
+    lines = lines_of(spark, [f"{i}\tb\t{t}" for i, t in enumerate(texts)])
+    assert rows(pk.parse_system_scores(lines)) == [(str(i), "b", v) for i, v in enumerate(texts.values())]
+    lines = lines_of(spark, [f"{i} b {t}" for i, t in enumerate(texts)])
+    kept = [(str(i), "b", v) for i, (t, v) in enumerate(texts.items()) if t[-1] not in "fd" or t == "inf"]
+    assert rows(pk.parse_system_scores(lines, layout="whitespace")) == kept
+
+
 def test_stage_files_round_trip(spark, rows, tmp_path):
     triples = spark.createDataFrame([("a -> b", "X", "w", 3), ('q"x', "Y", "v", 1)], "path string, slot string, word string, cnt long")
     pk.write_tsv(triples, str(tmp_path / "t"))
@@ -65,7 +73,7 @@ def test_stage_files_round_trip(spark, rows, tmp_path):
     pk.write_tsv(mi, str(tmp_path / "mi"))
     assert rows(pk.read_mi(spark, str(tmp_path / "mi")), 17) == rows(mi, 17)
     pairs = spark.createDataFrame([("a", "b", 0.1), ("a", "c", -2e-9)], "path_a string, path_b string, partial double")
-    pk.write_tsv(pairs, str(tmp_path / "p"), single_file=True)
+    pk.write_tsv(pairs, str(tmp_path / "p"))
     assert rows(pk.read_partials(spark, str(tmp_path / "p")), 17) == rows(pairs, 17)
     assert rows(pk.read_system_scores(spark, str(tmp_path / "p")), 17) == rows(pairs, 17)
     totals = spark.createDataFrame([("a", 1.25)], "path string, total_mi double")

@@ -5,40 +5,40 @@ import pathkin as pk
 
 LINES = {
     "preposition": (
-        "hopes/VBZ/ROOT/0\tfor/IN/prep/1\tMary/NNP/pobj/2\t153",
+        "hopes/VBZ/ROOT/0\tfor/IN/prep/1\tOtto/NNP/pobj/2\t153",
         [("hope -> for", "Y", "otto")],
     ),
     "subject and object": (
-        "Nora/NNP/nsubj/1\teats/VBZ/ROOT/0\tapples/NNS/dobj/1",
+        "Nora/NNP/nsubj/1\tcuts/VBZ/ROOT/0\tplums/NNS/dobj/1",
         [("cut -> nsubj", "X", "nora"), ("cut -> dobj", "Y", "plum")],
     ),
     "auxiliary": (
-        "Nora/NNP/nsubj/2\tis/VBZ/aux/2\twalking/VBG/ROOT/0",
+        "Nora/NNP/nsubj/2\tis/VBZ/aux/2\tjumping/VBG/ROOT/0",
         [("jump -> nsubj", "X", "nora")],
     ),
     "pronouns": (
-        "She/PRP/nsubj/1\tsolved/VBD/ROOT/0\tthem/PRP/dobj/1",
+        "She/PRP/nsubj/1\tcounted/VBD/ROOT/0\tthem/PRP/dobj/1",
         [("count -> nsubj", "X", "she"), ("count -> dobj", "Y", "them")],
     ),
     "auxiliary as main verb": (
-        "be\tdeath/NN/nsubj/2 be/VB/ccomp/0 for/IN/prep/2 crops/DT/pobj/3\t23\t1834,2",
-        [("be -> nsubj", "X", "rain"), ("be -> for", "Y", "crops")],
+        "be\train/NN/nsubj/2 be/VB/ccomp/0 for/IN/prep/2 crops/DT/pobj/3\t23\t1834,2",
+        [("be -> nsubj", "X", "rain"), ("be -> for", "Y", "crop")],
     ),
     "auxiliary elsewhere": ("be\tthem/PRP/nsubj/2 be/VB/conj/3 go/VB/ROOT/0\t5", []),
-    "tie counts from zero": ("be\tdeath/NN/nsubj/2 be/VB/ccomp/0\t23\t1834,2", []),
+    "tie counts from zero": ("be\train/NN/nsubj/2 be/VB/ccomp/0\t23\t1834,2", []),
     "dropped token takes no place": (
-        "cut\teat/VB/ROOT/0 1/2/CD/num/1 plum/NN/dobj/1\t5",
+        "cut\tcut/VB/ROOT/0 1/2/CD/num/1 plum/NN/dobj/1\t5",
         [("cut -> dobj", "Y", "plum")],
     ),
-    "three parts": ("cut\teat/VB/ROOT/0 plum/NN/dobj\t5", [("cut -> dobj", "Y", "plum")]),
-    "blank head": ("cut\teat/VB/ROOT/0 plum/NN/dobj/\t5", [("cut -> dobj", "Y", "plum")]),
-    "empty word": ("cut\teat/VB/ROOT/0 /NN/dobj/1\t5", [("cut -> dobj", "Y", "")]),
+    "three parts": ("cut\tcut/VB/ROOT/0 plum/NN/dobj\t5", [("cut -> dobj", "Y", "plum")]),
+    "blank head": ("cut\tcut/VB/ROOT/0 plum/NN/dobj/\t5", [("cut -> dobj", "Y", "plum")]),
+    "empty word": ("cut\tcut/VB/ROOT/0 /NN/dobj/1\t5", [("cut -> dobj", "Y", "")]),
     "preposition keeps case": (
-        "hope\twaits/VBZ/ROOT/0 For/IN/prep/1 Otto/NNP/pobj/2\t153",
+        "hope\thopes/VBZ/ROOT/0 For/IN/prep/1 Otto/NNP/pobj/2\t153",
         [("hope -> For", "Y", "otto")],
     ),
     "tag case": (
-        "hope\twaits/VBZ/ROOT/0 for/in/prep/1 otto/nn/pobj/2 me/prp/dobj/1\t153",
+        "hope\thopes/VBZ/ROOT/0 for/in/prep/1 otto/nn/pobj/2 me/prp/dobj/1\t153",
         [("hope -> dobj", "Y", "me")],
     ),
     "wh-words": (
@@ -62,7 +62,7 @@ LINES = {
         [("chas -> nsubj", "X", "dog"), ("chas -> dobj", "Y", "cat")],
     ),
     "control characters at the edge": (
-        "\x01eat/VB/ROOT/0 \x02 \x01apple/NN/dobj/\x011\x02\t5",
+        "\x01cut/VB/ROOT/0 \x02 \x01plum/NN/dobj/\x011\x02\t5",
         [("cut -> dobj", "Y", "plum")],
     ),
     "control character inside": (

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -30,7 +31,7 @@ BUCKETS = 8192
 ROUNDS = 3
 SEG = 64
 #: Characters of a block, about; a text is never cut.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 8_000_000
 #: The token after the last word; no word holds white space.
 END = b"\n"
 
@@ -70,9 +71,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.array([d is not None for d in ids], bool),
             held,
             sizes,
-            tokens,
+            zstandard.compress(tokens.tobytes(), 3),
             hashes,
-            trained.astype("<i8"),
+            zstandard.compress(trained.astype("<i8").tobytes(), 3),
         ]
         kinds = [pa.int64(), *[pa.binary()] * 7]
         return pa.RecordBatch.from_arrays(
@@ -101,7 +102,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(np.full(len(hashes), row["block"], np.int64)),
                     pa.array(np.arange(len(hashes), dtype=np.int32)),
                     pa.array(hashes),
-                    pa.array(np.frombuffer(row["trained"], "<i8")),
+                    pa.array(np.frombuffer(zstandard.decompress(row["trained"]), "<i8")),
                 ],
                 ["block", "place", "hash", "n"],
             )
@@ -140,7 +141,7 @@ def _code(counts: Counts):
         place = words.column("place").to_numpy()
         count[place] = words.column("total").to_numpy()
         bucket[place] = words.column("bucket").to_numpy()
-        tokens = np.frombuffer(row["tokens"], "<u4")
+        tokens = np.frombuffer(zstandard.decompress(row["tokens"]), "<u4")
         starts = offsets(np.frombuffer(row["sizes"], np.int64))[:-1]
         base = np.log10((count + 0.5) / (counts.total + 0.5 * (counts.distinct + 1)))
         inner = np.log((count + 0.5) / (counts.tokens[bucket] + 0.5 * (counts.words[bucket] + 1)))

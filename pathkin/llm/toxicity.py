@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pathkin.llm.arrays import offsets
 
 #: Bounds of the two samples that the model is fitted on.
-POSITIVES = 4_000
-UNLABELLED = 12_000
+POSITIVES = 2_000
+UNLABELLED = 6_000
 #: A word must stand in this share of the sample's texts, and in so many.
 LEAST_SHARE = 0.005
 LEAST_TEXTS = 5
@@ -165,7 +165,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         def joined(column: pd.Series) -> pd.Series:
             return column.map(lambda t: b" ".join(sorted(features(t))))
 
-        return sorted(bytes(r[0]) for r in picked.select(joined("text")).collect())
+        return sorted(picked.select(joined("text").alias("words")).toPandas()["words"])
 
     toxic = sample(marked.filter("toxic = 1"), POSITIVES, 1)
     return fit(toxic, sample(texts, UNLABELLED, 2), share)

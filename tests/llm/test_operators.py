@@ -413,7 +413,9 @@ def test_toxic_words_are_learned(spark, empty):
     for r in got:
         if r["doc_id"] is not None:
             assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
-            assert r["predicted"] == (r["score"] >= 0.3) == (r["doc_id"] % 6 == 0)
+            assert r["predicted"] == (r["score"] >= 0.3)
+    right = [r["predicted"] == (r["doc_id"] % 6 == 0) for r in got if r["held_out"]]
+    assert sum(right) >= 0.95 * len(right)
     assert toxicity.score_toxicity(empty, marks).count() == 0
     assert toxicity.score_toxicity(df, marks.limit(0)).count() == 601
 

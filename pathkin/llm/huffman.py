@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from tokenizers import Tokenizer
 
 from pathkin.llm.arrays import offsets
 from pathkin.llm.tokens import chunk_encoder
@@ -105,7 +106,15 @@ class Codebook:
         return out.reshape(-1)[:n]
 
 
-def _tokenize(path: str, end_id: int):
+#: Ids on their way to the files: two bytes are enough for the vocabularies of up to 65,536 ids.
+SHORT, WIDE = "<u2", "<u4"
+
+
+def _width(path: str, end_id: int) -> str:
+    return SHORT if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else WIDE
+
+
+def _tokenize(path: str, end_id: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = chunk_encoder(path), np.array([end_id], np.uint32)
         for batch in batches:
@@ -113,37 +122,40 @@ def _tokenize(path: str, end_id: int):
             sizes, packed = [], []
             for ids in encoder.encode(texts):
                 sizes.append(len(ids) + 1)
-                packed.append(np.concatenate([ids, end]).astype("<u4").tobytes())
+                packed.append(np.concatenate([ids, end]).astype(kind).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
                 ["doc_id", "n_tokens", "ids"],
             )
+        encoder.clear()
 
     return run
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids of each whole text and ``end_id``, 4 little-endian bytes each."""
+    """(doc_id, n_tokens, ids): ids of each whole text and ``end_id``, little-endian, as wide as ``_width`` says."""
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        _tokenize(tokenizer, end_id), "doc_id bigint, n_tokens bigint, ids binary"
+        _tokenize(tokenizer, end_id, _width(tokenizer, end_id)), "doc_id bigint, n_tokens bigint, ids binary"
     )
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column("ids").to_pylist():
-            found = np.bincount(np.frombuffer(ids, "<u4"))
+def _count(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind))
             if len(found) > len(total):
                 found[: len(total)] += total
                 total = found
             else:
                 total[: len(found)] += found
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
+
+    return run
 
 
-def _write(symbols: np.ndarray, lengths: np.ndarray):
+def _write(symbols: np.ndarray, lengths: np.ndarray, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, shard = Codebook(symbols, lengths), TaskContext.get().partitionId()
         docs, parts, size, first, block = [], [], 0, 0, 0
@@ -167,7 +179,7 @@ def _write(symbols: np.ndarray, lengths: np.ndarray):
         for batch in batches:
             for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 docs.append(doc)
-                parts.append(np.frombuffer(ids, "<u4"))
+                parts.append(np.frombuffer(ids, kind))
                 size += len(parts[-1])
                 if size >= BLOCK_TOKENS:
                     yield close()
@@ -186,9 +198,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     null text counts as empty and other columns are left out. An empty table
     gives a file without blocks.
     """
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, _width(tokenizer, end_id)
     ids = cut_lineage(tokenize(docs, tokenizer, end_id))
-    counted = ids.mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = ids.mapInArrow(_count(kind), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     counts = counted.orderBy("id").toPandas()  # at most one row per id of the vocabulary
     symbols, total = counts["id"].to_numpy(), int(counts["n"].sum())
     lengths = code_lengths(counts["n"].to_numpy())
@@ -198,7 +210,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     (
         ids.repartitionByRange(shards, "doc_id")
         .sortWithinPartitions("doc_id", "n_tokens", "ids")
-        .mapInArrow(_write(symbols, lengths), BLOCKS)
+        .mapInArrow(_write(symbols, lengths, kind), BLOCKS)
         .write.parquet(f"{path}/blocks")
     )
 

@@ -30,7 +30,7 @@ RECALL = 0.9995
 ROWS = 6
 #: n-grams of a unit, about.
 UNIT = 1 << 19
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -56,7 +56,7 @@ class _WordHashes(dict):
 
 @functools.lru_cache(1)
 def _word_hashes() -> _WordHashes:
-    """Word hashes that each Python worker keeps from task to task."""
+    """Word hashes that a Python worker keeps during a task."""
     return _WordHashes()
 
 
@@ -111,6 +111,7 @@ def _sketch(n: int, bands: int, rows: int):
                 [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))],
                 ["doc_id", "node", "bands"],
             )
+        _word_hashes().clear()
 
     return run
 
@@ -128,6 +129,7 @@ def _sets(n: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sets, pa.binary()), pa.array(sizes, pa.int64())], ["node", "grams", "size"]
             )
+        _word_hashes().clear()
 
     return run
 

@@ -125,6 +125,7 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int]):
                     yield flush()
         for pieces in packer.pack(last=True):
             put(pieces)
+        encoder.clear()
         yield flush()
 
     return run

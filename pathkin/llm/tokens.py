@@ -10,9 +10,9 @@ from tokenizers import Tokenizer
 from pathkin.llm.arrays import gather, in_groups, offsets
 
 #: Characters encoded together, and chunks and characters remembered between texts.
-GROUP_CHARS = 2_000_000
-KEPT_CHUNKS = 700_000
-KEPT_CHARS = 14_000_000
+GROUP_CHARS = 1_000_000
+KEPT_CHUNKS = 300_000
+KEPT_CHARS = 6_000_000
 
 
 class _Places(dict):
@@ -42,6 +42,10 @@ class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget all chunks; done at the end of a task, as workers go on to other work."""
         self.fresh: list = [0]
         self.first, self.later = _Places(self.fresh, ""), _Places(self.fresh, " ")
         self.flat = np.zeros(0, np.uint32)
@@ -67,10 +71,7 @@ class ChunkEncoder:
         self.fresh[0] = len(self.lengths)
         self.chars = sum(map(len, self.first)) + sum(map(len, self.later))
         if self.chars > KEPT_CHARS // 2:  # few but very long chunks
-            self.first.clear()
-            self.later.clear()
-            self.flat, self.starts, self.lengths = self.flat[:0], self.starts[:0], self.lengths[:0]
-            self.open_end, self.used, self.fresh[0], self.chars = self.open_end[:0], self.used[:0], 0, 0
+            self.clear()
 
     def _learn(self) -> None:
         chunks = self.fresh[1:]
@@ -116,5 +117,5 @@ class ChunkEncoder:
 
 @functools.lru_cache(1)
 def chunk_encoder(path: str) -> ChunkEncoder:
-    """One encoder for each Python worker, kept from task to task."""
+    """One encoder for each Python worker; the tokenizer is read once."""
     return ChunkEncoder(path)

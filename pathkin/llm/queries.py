@@ -17,6 +17,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # Workers that didn't start in this repository find the package too.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    # Texts may be long: few of them go to a Python worker at once.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -96,11 +96,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": """
         WITH whole AS (
-            SELECT vec_id, list_transform(embedding, c -> floor(256 * c::DOUBLE)) AS x
+            SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
             FROM embeddings
         ), valid AS (
             SELECT vec_id, x FROM whole
-            WHERE vec_id IS NOT NULL AND len(x) > 0 AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0
+            WHERE vec_id IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
             FROM valid q JOIN valid c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id

@@ -11,6 +11,8 @@ from pathkin.llm.arrays import gather, in_groups, offsets
 
 #: Characters encoded together, and chunks and characters remembered between texts.
 GROUP_CHARS = 1_000_000
+#: New chunks that the library is given as one text.
+TOGETHER = 4096
 KEPT_CHUNKS = 300_000
 KEPT_CHARS = 6_000_000
 
@@ -42,6 +44,12 @@ class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         self.tokenizer = Tokenizer.from_file(path)
+        # A character of a byte-level token stands for one byte; added tokens are plain text.
+        self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.n_bytes[i] = len(token)
+        for i, added in self.tokenizer.get_added_tokens_decoder().items():
+            self.n_bytes[i] = len(added.content.encode())
         self.clear()
 
     def clear(self) -> None:
@@ -73,18 +81,45 @@ class ChunkEncoder:
         if self.chars > KEPT_CHARS // 2:  # few but very long chunks
             self.clear()
 
+    def _ids(self, chunks: list[str], open_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of ``chunks`` in any order, and where those of each chunk start and how many they are.
+
+        Chunks that begin with a space and end in another character may stand one
+        after the other in one text; the bytes of its ids tell where each one ends.
+        """
+        starts, lengths = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        sizes = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in chunks), np.int64, len(chunks))
+        spaced = np.fromiter((c[:1] == " " for c in chunks), bool, len(chunks)) & ~open_end
+        alone, parts, total = np.flatnonzero(~spaced).tolist(), [np.zeros(0, np.uint32)], 0
+        many = np.flatnonzero(spaced)
+        for s in range(0, len(many), TOGETHER):
+            part = many[s : s + TOGETHER]
+            text = "".join(chunks[k] for k in part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            reach, stops = offsets(self.n_bytes[ids]), offsets(sizes[part])
+            cuts = np.searchsorted(reach, stops)
+            if reach[-1] != stops[-1] or (reach[cuts] != stops).any():
+                alone += part.tolist()
+                continue
+            starts[part], lengths[part] = total + cuts[:-1], np.diff(cuts)
+            parts.append(ids)
+            total += len(ids)
+        for k, x in zip(alone, self.tokenizer.encode_batch_fast([chunks[k] for k in alone], add_special_tokens=False)):
+            parts.append(np.array(x.ids, np.uint32))
+            starts[k], lengths[k] = total, len(parts[-1])
+            total += len(parts[-1])
+        return np.concatenate(parts), starts, lengths
+
     def _learn(self) -> None:
         chunks = self.fresh[1:]
         if not chunks:
             return
         del self.fresh[1:]
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
-        self.starts = np.concatenate([self.starts, len(self.flat) + offsets(lengths)[:-1]])
+        ends = np.fromiter((c == " " or c[-1:].isspace() for c in chunks), bool, len(chunks))
+        flat, starts, lengths = self._ids(chunks, ends)
+        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, flat])
-        ends = np.fromiter((c == " " or c[-1:].isspace() for c in chunks), bool, len(chunks))
         self.open_end = np.concatenate([self.open_end, ends])
         self.used = np.concatenate([self.used, np.zeros(len(chunks), np.int64)])
         self.chars += sum(map(len, chunks))

@@ -15,7 +15,7 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-from pathkin.llm import bpe, components, hmm, huffman, jaccard, licenses, mtree, packing, quality, secret_scan, toxicity
+from pathkin.llm import bpe, components, hmm, huffman, jaccard, licenses, mtree, packing, quality, secret_scan, tokens, toxicity
 from pathkin.llm.queries import BYTE_BPE, RANKS
 
 KEY = "7602ad27cf5550de1c9b"
@@ -426,3 +426,16 @@ def test_calibration_restores_shrunk_margins():
     scale, shift = toxicity.calibrate(f[:1000] * 0.2, f * 0.2, 0.1)
     score = 1 / (1 + np.exp(-(scale * 0.2 * f + shift)))
     assert np.mean(score[:1000] >= 0.3) > 0.95 and np.mean(score[1000:] >= 0.3) < 0.02
+
+
+def test_chunks_encoded_together_equal_the_library():
+    rng = np.random.default_rng(4)
+    bits = [" ", "  ", "\n", "\t", "a", "the", "'s", "12", " x", "<|endoftext|>", "é", " ", "　", "日本", ".", " !", "\x00"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 40))) for _ in range(500)] + ["", " ", "long" * 3000]
+    encoder = tokens.ChunkEncoder(BYTE_BPE)
+    want = Tokenizer.from_file(BYTE_BPE).encode_batch(texts, add_special_tokens=False)
+    for _ in range(2):  # with new and with remembered chunks
+        assert [x.tolist() for x in encoder.encode(texts)] == [x.ids for x in want]
+    encoder.n_bytes[:] = 1  # places of chunks that can't be told from the bytes
+    encoder.clear()
+    assert [x.tolist() for x in encoder.encode(texts)] == [x.ids for x in want]

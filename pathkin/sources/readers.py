@@ -4,7 +4,7 @@ Each ``read_*`` is a ``parse_*`` over ``spark.read.text``; the parsers take any
 DataFrame with a string column ``value``. Lines that do not fit are dropped.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pathkin import fixed
 from pathkin.functions.text import score_or_zero, to_real, to_score, to_whole, trim_control
@@ -192,13 +192,32 @@ def read_system_scores(
 
 
 def read_gold(spark: SparkSession, positive: str, negative: str) -> DataFrame:
-    """gold_row, path_a, path_b, label: labelled pairs, positives before negatives."""
+    """gold_row, path_a, path_b, label: labelled pairs, positives before negatives.
+
+    Rows are numbered without gaps in the order of the files' names and of the
+    lines in them. The splits of the files are numbered by their places and sizes;
+    a row adds its own place in its split, whatever task reads it.
+    """
 
     def pairs(path: str, label: int) -> DataFrame:
         rows = spark.read.csv(path, sep=fixed.FIELD, schema="path_a string, path_b string")
-        return rows.withColumn("label", F.lit(label))
+        return rows.select(
+            "path_a",
+            "path_b",
+            F.lit(label).alias("label"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+        )
 
-    return label_pairs(pairs(positive, 1), pairs(negative, 0))
+    split = ["label", "file", "block"]
+    rows = pairs(positive, 1).unionByName(pairs(negative, 0))
+    sizes = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    # One row per split of a file.
+    earlier = Window.orderBy(F.desc("label"), "file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*split, "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("at") - F.col("first")
+    return rows.join(starts, split).select(number.alias("gold_row"), "path_a", "path_b", "label")
 
 
 def label_pairs(positive: DataFrame, negative: DataFrame) -> DataFrame:

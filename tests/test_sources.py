@@ -94,3 +94,16 @@ def test_lines_and_gold(spark, rows, tmp_path):
         ("X eat Y", "X chew Y", 1), ("X go Y", "X run Y", 1), ("X eat Y", "X run Y", 0),
     ]
     assert gold.select("gold_row").distinct().count() == 3
+
+
+def test_gold_rows_follow_the_files(spark, tmp_path):
+    good, bad = tmp_path / "good", tmp_path / "bad.tsv"
+    good.mkdir()
+    (good / "part-00000").write_text("a\tb\n")
+    (good / "part-00001").write_text("".join(f"c{i}\td\n" for i in range(500)))
+    bad.write_text("e\tf\ng\t\n")
+    rows = pk.read_gold(spark, str(good), str(bad)).orderBy("gold_row").collect()
+    assert [r["gold_row"] for r in rows] == list(range(503))
+    assert [r["path_a"] for r in rows] == ["a", *(f"c{i}" for i in range(500)), "e", "g"]
+    assert [r["label"] for r in rows] == [1] * 501 + [0] * 2
+    assert rows[-1]["path_b"] is None

@@ -42,6 +42,7 @@ from pathkin.operators.similarity import (
     feature_pairs,
     lin_normalize,
     path_similarity,
+    score_pairs,
     sum_partials,
 )
 from pathkin.plans.rules import count_corpus, discover_rules, evaluate_rules

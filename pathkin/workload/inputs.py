@@ -12,12 +12,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(texts: DataFrame) -> DataFrame:
-    """``texts`` on all cores where they come in fewer splits, as single small files do."""
-    cores = texts.sparkSession.sparkContext.defaultParallelism
-    return texts.repartition(cores) if texts.rdd.getNumPartitions() < cores else texts
-
-
 def _windows(texts: DataFrame) -> DataFrame:
     """(i, w1, w2, w3): every three words in a row of every text, ``i`` from 0."""
     words = F.regexp_extract_all(F.col("text"), F.lit(r"(\p{L}+)"), F.lit(1))
@@ -27,7 +21,8 @@ def _windows(texts: DataFrame) -> DataFrame:
         F.slice("w", F.lit(3), F.size("w")).alias("w3"),
     )
     return (
-        _spread(texts.select("text"))
+        texts.select("text")
+        .repartition(texts.sparkSession.sparkContext.defaultParallelism)
         .select(words.alias("w"))
         .select(F.posexplode_outer(zipped).alias("i", "t"))
         .select("i", "t.w1", "t.w2", "t.w3")
@@ -150,6 +145,15 @@ def scored_gold(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def document_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The scores of ``scored_gold`` for every document, labelled or not, as a system's."""
+    return table(spark, folder, "documents").select(
+        F.concat(F.lit("doc "), "doc_id").alias("path_a"),
+        F.lit("labels").alias("path_b"),
+        (F.floor(F.col("n_chars") / 100) / 1000).alias("score"),
+    )
+
+
 def _tsv(*fields: Column | str) -> Column:
     return F.concat_ws("\t", *fields)
 

@@ -51,7 +51,7 @@ def _stem(word: str) -> str:
 
 
 def _facts(table: str) -> str:
-    """CTEs up to ``facts``: (path, slot, word, prep, noun), one row per fact of a line."""
+    """CTEs up to ``facts``: (path, slot, word, filler, prep, noun), one row per fact of a line."""
     return (
         _WINDOWS.format(table=table)
         + f""",
@@ -74,7 +74,7 @@ arcs as (
 facts as (
   select v.s || ' -> ' || rel as path,
     case when lower(rel) like 'nsubj%' or lower(rel) in ('csubj', 'csubjpass') then 'X' else 'Y' end as slot,
-    k.s as word, prep, noun
+    k.s as word, arcs.word as filler, prep, noun
   from arcs join known v on v.w = arcs.w2 join known k on k.w = arcs.word
 )"""
     )
@@ -170,6 +170,56 @@ cutoffs as (select case when m1 > m0 then m1 else greatest(0.01, mean + 1e-6) en
   case when m1 > m0 then m0 else least(0.01, greatest(0.0, lowest)) end as low from middle)"""
 )
 
+_THRESHOLDS = """limits(threshold) as (values (0.0001), (0.001), (0.01), (0.05), (0.1)),
+counts as (select cast(threshold as double) as threshold,
+  count(*) filter (label = 1 and score >= threshold) as tp,
+  count(*) filter (label <> 1 and score >= threshold) as fp,
+  count(*) filter (label = 1 and score < threshold) as fn
+  from scored cross join (select cast(threshold as double) as threshold from limits) group by threshold)"""
+_MEASURED = """select threshold, tp, fp, fn,
+  round(case when tp + fp > 0 then cast(tp as double) / (tp + fp) else 0.0 end, 6) as precision,
+  round(case when tp + fn > 0 then cast(tp as double) / (tp + fn) else 0.0 end, 6) as recall,
+  round(case when tp > 0 then 2.0 * tp / (2 * tp + fp + fn) else 0.0 end, 6) as f1
+from counts"""
+_STEPS = """steps2 as (select recall, precision, lead(recall) over (order by position) as r2, lead(precision) over (order by position) as p2 from ended)"""
+_PLACES = """size as (select count(*) as m, least(count(*), 20) as k from curve),
+places as (select case when j > 0 and j = k - 1 then m - 1 else cast(floor(j * (cast(m - 1 as double) / greatest(k - 1, 1))) as bigint) end as position
+  from (select m, k, unnest(generate_series(0, k - 1)) as j from size))"""
+_PLACED = """classed as (select 'TP' as class, scored.* from scored, cutoffs where label = 1 and score >= high
+  union all select 'FP', scored.* from scored where label <> 1 and score > 0
+  union all select 'TN', scored.* from scored, cutoffs where label <> 1 and score <= low
+  union all select 'FN', scored.* from scored, cutoffs where label = 1 and score <= low),
+placed as (select *, row_number() over (partition by class order by gold_row) as place from classed)"""
+
+
+def _long(name: str, place: str, measures: list[str], rows: str) -> str:
+    """Selects that turn the columns ``measures`` of ``rows`` into rows."""
+    return " union all ".join(
+        f"select '{name}' as \"table\", cast({place} as double) as place, '{m}' as measure,"
+        f" round(cast({m} as double), 6) as value from {rows}"
+        for m in measures
+    )
+
+
+_EVALUATION = f"""{_CURVE}{_CUTOFFS.removeprefix(_SCORED)}, {_THRESHOLDS}, {_STEPS}, {_PLACES}, {_PLACED},
+measured as ({_MEASURED}),
+area as (select sum((recall - r2) * (precision + p2) / 2) as auc from steps2),
+best as (select threshold, f1 from rated order by f1 desc, threshold limit 1),
+sampled as (select position, threshold, precision, recall from curve join places using (position))
+""" + " union all ".join(
+    [
+        _long("scored", "gold_row", ["score"], "scored"),
+        _long("threshold_metrics", "threshold", ["tp", "fp", "fn", "precision", "recall", "f1"], "measured"),
+        _long("pr_curve", "position", ["threshold", "precision", "recall"], "ended"),
+        _long("pr_auc", "0", ["auc"], "area"),
+        _long("best_threshold", "0", ["threshold", "f1"], "best"),
+        _long("sample_curve", "position", ["threshold", "precision", "recall"], "sampled"),
+        _long("error_cutoffs", "0", ["high", "low"], "cutoffs"),
+        """select 'error_samples', cast(gold_row as double), class, cast(place as double)
+  from placed where place <= 5""",
+    ]
+)
+
 ORACLES: dict[str, str] = {
     "ngram_segments": f"""with {_LINES},
 cut as (select list_filter(list_transform(string_split(value, chr(9)), lambda s: trim(s)),
@@ -187,8 +237,8 @@ parts(form, word_no, pos, dep, head, idx) as (values
   (5, 2, 'VB', 'ROOT', 0, 0), (5, 3, 'NN', 'dobj', 1, 1),
   (6, 2, 'VB', 'ROOT', 0, 0), (6, 3, 'dt', 'dobj', 0, 1),
   (7, 2, 'NN', 'ROOT', 0, 0), (7, 1, 'JJ', 'amod', 1, 1), (7, 3, 'RB', 'advmod', -1, 2))
-select pos, dep, head, idx, count(*) as n,
-  cast(sum(length(case word_no when 0 then 'said' when 1 then w1 when 2 then w2 else w3 end)) as bigint) as word_chars
+select case word_no when 0 then 'said' when 1 then w1 when 2 then w2 else w3 end as word,
+  pos, dep, head, idx, count(*) as n
 from windows join parts on form = i % 8 group by all""",
     "head_base": f"""with {_DOCUMENT_WINDOWS},
 bases(form, base, linked) as (values (0, 1, 2), (1, 0, 2), (2, 1, 2), (3, 0, 2), (4, 0, 3), (5, 1, 1), (6, 0, 1), (7, 1, 1))
@@ -196,8 +246,8 @@ select base, count(*) as n_lines, cast(sum(linked) as bigint) as n_linked from w
     "stem_words": rf"""with words as (select distinct unnest(regexp_extract_all(text, '\p{{L}}+')) as word from documents),
 low as (select word, lower(word) as l from words)
 select word, {_stem('l')} as stem from low""",
-    "extract_direct": f"with {_facts('documents')} select path, slot, count(*) as n from facts where prep = 0 group by all",
-    "extract_prep": f"with {_facts('documents')} select path, slot, count(*) as n from facts where prep = 1 group by all",
+    "extract_direct": f"with {_facts('documents')} select path, slot, filler, count(*) as n from facts where prep = 0 group by all",
+    "extract_prep": f"with {_facts('documents')} select path, slot, filler, count(*) as n from facts where prep = 1 group by all",
     "extract_nouns": f"with {_facts('documents')} select slot, word, count(*) as n from facts where noun group by all",
     "extraction_report": f"""with {_LINES}
 select value, case when length(value) > 200 then left(value, 200) || '...' else value end as sample from lines
@@ -264,40 +314,30 @@ select gold_row, path_a, path_b, label, round(score, 6) as score from scored""",
     "score_gold_dups": f"""{_SCORED_PAIRS}
 select gold_row, path_a, path_b, label, round(coalesce(score, 0.0), 6) as score
 from gold left join keyed on k1 = least(path_a, path_b) and k2 = greatest(path_a, path_b)""",
+    "score_gold_direct": f"""{_SCORED_PAIRS}
+select gold_row, g.path_a, g.path_b, label, round(coalesce(score, 0.0), 6) as score
+from gold g left join similarity s
+  on s.path_a = least(g.path_a, g.path_b) and s.path_b = greatest(g.path_a, g.path_b)""",
+    "evaluate_rules": _EVALUATION,
     "gold_unmatched": f"""{_SCORED_PAIRS}{_BEST_SCORES},
 hits as (select least(path_a, path_b) as k1, greatest(path_a, path_b) as k2 from scored where label = 0 and score > 0)
 select gold_row, path_a, path_b, label from scored where label = 0 and not exists
   (select 1 from hits where k1 = least(path_a, path_b) and k2 = greatest(path_a, path_b))""",
     "threshold_metrics": f"""{_SCORED},
-limits(threshold) as (values (0.0001), (0.001), (0.01), (0.05), (0.1)),
-counts as (select cast(threshold as double) as threshold,
-  count(*) filter (label = 1 and score >= threshold) as tp,
-  count(*) filter (label <> 1 and score >= threshold) as fp,
-  count(*) filter (label = 1 and score < threshold) as fn
-  from scored cross join (select cast(threshold as double) as threshold from limits) group by threshold)
-select threshold, tp, fp, fn,
-  round(case when tp + fp > 0 then cast(tp as double) / (tp + fp) else 0.0 end, 6) as precision,
-  round(case when tp + fn > 0 then cast(tp as double) / (tp + fn) else 0.0 end, 6) as recall,
-  round(case when tp > 0 then 2.0 * tp / (2 * tp + fp + fn) else 0.0 end, 6) as f1
-from counts""",
+{_THRESHOLDS}
+{_MEASURED}""",
     "pr_curve": f"{_CURVE} select position, threshold, round(precision, 6) as precision, round(recall, 6) as recall from ended",
     "pr_auc": f"""{_CURVE},
-steps2 as (select recall, precision, lead(recall) over (order by position) as r2, lead(precision) over (order by position) as p2 from ended)
+{_STEPS}
 select round(sum((recall - r2) * (precision + p2) / 2), 6) as auc from steps2""",
     "curve_f1": f"{_CURVE} select threshold, round(f1, 6) as f1 from rated",
     "best_threshold": f"{_CURVE} select threshold, round(f1, 6) as f1 from rated order by rated.f1 desc, threshold limit 1",
     "sample_curve": f"""{_CURVE},
-size as (select count(*) as m, least(count(*), 20) as k from curve),
-places as (select case when j > 0 and j = k - 1 then m - 1 else cast(floor(j * (cast(m - 1 as double) / greatest(k - 1, 1))) as bigint) end as position
-  from (select m, k, unnest(generate_series(0, k - 1)) as j from size))
+{_PLACES}
 select position, threshold, round(precision, 6) as precision, round(recall, 6) as recall
 from curve join places using (position)""",
     "error_cutoffs": f"{_CUTOFFS} select round(high, 6) as high, round(low, 6) as low from cutoffs",
     "error_samples": f"""{_CUTOFFS},
-classed as (select 'TP' as class, scored.* from scored, cutoffs where label = 1 and score >= high
-  union all select 'FP', scored.* from scored where label <> 1 and score > 0
-  union all select 'TN', scored.* from scored, cutoffs where label <> 1 and score <= low
-  union all select 'FN', scored.* from scored, cutoffs where label = 1 and score <= low),
-placed as (select *, row_number() over (partition by class order by gold_row) as place from classed)
+{_PLACED}
 select class, cast(place as integer) as place, gold_row, path_a, label, score from placed where place <= 5""",
 }

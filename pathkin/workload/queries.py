@@ -1,6 +1,7 @@
 """One query per operator, each over whole tables. Doubles are rounded for comparison."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -36,8 +37,8 @@ def ngram_tokens(spark: SparkSession, folder: str) -> DataFrame:
     lines = inputs.ngram_lines(spark, folder)
     return (
         lines.select(F.explode_outer(pk.ngram_tokens(F.col("value"))).alias("t"))
-        .groupBy("t.pos", "t.dep", "t.head", "t.idx")
-        .agg(F.count("t.word").alias("n"), F.sum(F.length("t.word")).alias("word_chars"))
+        .groupBy("t.word", "t.pos", "t.dep", "t.head", "t.idx")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -73,8 +74,8 @@ def _arcs(spark: SparkSession, folder: str, via_preposition: bool) -> DataFrame:
     path = pk.path_of(F.col("verb"), F.col("relation"))
     return (
         arcs.filter(F.col("via_preposition") == via_preposition)
-        .select(path.alias("path"), pk.slot_of(F.col("relation")).alias("slot"))
-        .groupBy("path", "slot")
+        .select(path.alias("path"), pk.slot_of(F.col("relation")).alias("slot"), "filler")
+        .groupBy("path", "slot", "filler")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -276,6 +277,46 @@ def gold_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return pk.gold_without(negative, negative.filter(F.col("score") > 0)).drop("score")
 
 
+def score_gold_direct(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold pairs by their own scores; no other pair is scored."""
+    gold = cut_lineage(inputs.gold(spark, folder))
+    scored = pk.score_gold(gold, pk.score_pairs(gold, _mi(spark, folder)))
+    return scored.select("gold_row", "path_a", "path_b", "label", _round("score"))
+
+
+def evaluate_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """All quality tables in one long form: (table, place, measure, value)."""
+    gold = inputs.scored_gold(spark, folder).drop("score")
+    tables = pk.evaluate_rules(inputs.document_scores(spark, folder), gold)
+    places = {
+        "scored": ("gold_row", ["score"]),
+        "threshold_metrics": ("threshold", ["tp", "fp", "fn", "precision", "recall", "f1"]),
+        "pr_curve": ("position", ["threshold", "precision", "recall"]),
+        "pr_auc": (None, ["auc"]),
+        "best_threshold": (None, ["threshold", "f1"]),
+        "sample_curve": ("position", ["threshold", "precision", "recall"]),
+        "error_cutoffs": (None, ["high", "low"]),
+        "error_samples": ("gold_row", ["place"]),
+    }
+    long = []
+    for name, (place, measures) in places.items():
+        measure = F.col("class") if name == "error_samples" else None
+        values = F.array(
+            *(
+                F.struct(
+                    (F.lit(m) if measure is None else measure).alias("measure"),
+                    F.round(F.col(m).cast("double"), 6).alias("value"),
+                )
+                for m in measures
+            )
+        )
+        at = F.lit(0.0) if place is None else F.col(place).cast("double")
+        long.append(
+            tables[name].select(F.lit(name).alias("table"), at.alias("place"), F.inline(values))
+        )
+    return reduce(DataFrame.unionByName, long)
+
+
 def threshold_metrics(spark: SparkSession, folder: str) -> DataFrame:
     measured = pk.threshold_metrics(inputs.scored_gold(spark, folder))
     return measured.select(
@@ -358,7 +399,9 @@ QUERIES: dict[str, Query] = {
         read_gold,
         score_gold,
         score_gold_dups,
+        score_gold_direct,
         gold_unmatched,
+        evaluate_rules,
         threshold_metrics,
         pr_curve,
         pr_auc,

@@ -35,6 +35,7 @@ def test_no_cross_joins_and_no_python(mi, scored):
         "mi": pk.mutual_information(triples),
         "similarity": pk.path_similarity(mi),
         "pairs": pk.feature_pairs(mi),
+        "asked pairs": pk.score_pairs(scored.select("path_a", "path_b"), mi),
         "normalised": pk.lin_normalize(
             pk.sum_partials(pk.feature_pairs(mi)), pk.path_totals(mi)
         ),
@@ -55,6 +56,12 @@ def test_counting_shuffles_once(mi):
     assert "partial_count" in plan
 
 
+def test_pairs_are_summed_on_numbers(mi):
+    plan = pk.path_similarity(mi)._jdf.queryExecution().optimizedPlan().toString()
+    summed = next(line for line in plan.splitlines() if "Aggregate" in line and "AS numerator" in line)
+    assert not [name for name in ("path#", "slot#", "word#") if name in summed]
+
+
 def test_lines_are_parsed_once(mi):
     plan = plan_of(pk.count_corpus(mi.select(F.col("word").alias("value"))))
     assert plan.count("split(") <= 3

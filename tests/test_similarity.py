@@ -135,6 +135,18 @@ def test_similarity_is_the_same_for_every_block_size(mi_rows, skewed, block_rows
     assert pairs.filter("path_a >= path_b").count() == 0
 
 
+@pytest.mark.parametrize("block_rows", [1, 7, 1000])
+def test_asked_pairs_score_as_all_pairs_do(spark, mi_rows, skewed, block_rows):
+    want = brute(skewed)[2]
+    asked = [(b, a) for a, b in sorted(want)[::3]] + sorted(want)[::5] + [("p0", f"p{i}") for i in range(120)]
+    asked += [("p1", None), (None, None), ("p1", "unknown"), ("p2", "p1"), ("p1", "p2")]
+    pairs = spark.createDataFrame(asked, "path_a string, path_b string")
+    keys = {tuple(sorted(k)) for k in asked if None not in k}
+    got = as_map(pk.score_pairs(pairs, mi_rows, block_rows))
+    close(got, {k: v for k, v in want.items() if k in keys})
+    assert pk.score_pairs(pairs.limit(0), mi_rows).count() == 0
+
+
 @pytest.mark.parametrize("partitions", ["1", "3", "16"])
 def test_similarity_is_the_same_for_every_partition_count(spark, mi_rows, skewed, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -211,6 +223,15 @@ def test_normalisation_guards(spark, rows):
     assert rows(got) == [("p1", "q1", 0.5), ("p2", "q2", 2.0), ("p3", "q3", 2.0), ("p4", "q4", 2.0)]
 
 
+def test_normalisation_spreads_a_hot_path_and_keeps_nulls(spark):
+    cases = [("hot", f"q{i}", 2.0) for i in range(500)] + [(f"p{i}", "z", 2.0) for i in range(500)]
+    scored = spark.createDataFrame([*cases, ("hot", None, 3.0)], "path_a string, path_b string, score double")
+    totals = spark.createDataFrame([("hot", 1.0), ("q7", 3.0)], "path string, total_mi double")
+    got = pk.lin_normalize(scored, totals)
+    found = {(r.path_a, r.path_b): r.score for r in got.collect()}
+    assert found == {(a, b): s for a, b, s in cases} | {("hot", "q7"): 0.5, ("hot", None): 3.0}
+
+
 def test_path_totals_add_up(mi_rows):
     whole = mi_rows.agg(F.sum("mi")).first()[0]
     parts = pk.path_totals(mi_rows).agg(F.sum("total_mi")).first()[0]

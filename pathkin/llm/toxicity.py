@@ -7,17 +7,20 @@ taken off the risk of calling unlabelled texts toxic; where that difference fall
 below zero, its gradient is turned (the non-negative risk estimator).
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pathkin.llm.arrays import offsets
+from pathkin.session import cut_lineage
 
 #: Bounds of the two samples that the model is fitted on.
-POSITIVES = 2_000
-UNLABELLED = 6_000
+POSITIVES = 4_000
+UNLABELLED = 12_000
 #: A word must stand in this share of the sample's texts, and in so many.
 LEAST_SHARE = 0.005
 LEAST_TEXTS = 5
@@ -25,6 +28,8 @@ EPOCHS = 150
 RATE = 0.02
 PENALTY = 3e-2
 CUT = 0.3
+#: Texts that are summed at a time.
+TEXTS = 1_000
 
 # ASCII letters in lower case; all other ASCII but digits becomes a space.
 _TABLE = bytes(
@@ -56,31 +61,31 @@ class Model:
         return pd.Series(1 / (1 + np.exp(-margins)), dtype="float64")
 
 
-def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
-    """The model for a class ``prior``; a text is its features, joined by spaces."""
+def fit(positive: list[bytes], unlabelled: list[bytes], words: list[bytes], prior: float) -> Model:
+    """The model for a class ``prior``; a text is its features' places in ``words``, as 32-bit numbers."""
     sides = (positive, unlabelled)
-    seen: dict[bytes, int] = {}
-    for side in sides:
-        for text in side:
-            for w in text.split():
-                seen[w] = seen.get(w, 0) + 1
-    least = max(LEAST_TEXTS, LEAST_SHARE * sum(map(len, sides)))
-    place = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= least))}
-    n_words = len(place)
-    rows = []
-    for side in sides:
-        ids = [np.array([place[w] for w in t.split() if w in place], np.int64) for t in side]
-        rows.append((np.concatenate([*ids, np.zeros(0, np.int64)]), offsets(np.array([len(i) for i in ids], np.int64))))
+    n_words = len(words)
+    rows = [
+        (np.frombuffer(b"".join(side), "<i4"), offsets(np.array([len(t) // 4 for t in side], np.int64))) for side in sides
+    ]
 
-    def margins(w: np.ndarray, side) -> np.ndarray:
+    def parts(side):
         flat, cuts = side
-        total = np.concatenate([[0.0], np.cumsum(w[flat])])
-        return total[cuts[1:]] - total[cuts[:-1]] + w[-1]
+        for a in range(0, len(cuts) - 1, TEXTS):
+            c = cuts[a : a + TEXTS + 1]
+            yield slice(a, a + TEXTS), flat[c[0] : c[-1]], c - c[0]
+
+    def margins(w: np.ndarray, side) -> np.ndarray:
+        out = np.empty(len(side[1]) - 1)
+        for at, flat, cuts in parts(side):
+            total = np.concatenate([[0.0], np.cumsum(w[flat])])
+            out[at] = total[cuts[1:]] - total[cuts[:-1]] + w[-1]
+        return out
 
     def back(gradient: np.ndarray, side) -> np.ndarray:
-        flat, cuts = side
         out = np.zeros(n_words + 1)
-        out[:-1] = np.bincount(flat, np.repeat(gradient, np.diff(cuts)), n_words)[:n_words]
+        for at, flat, cuts in parts(side):
+            out[:-1] += np.bincount(flat, np.repeat(gradient[at], np.diff(cuts)), n_words)[:n_words]
         out[-1] = gradient.sum()
         return out
 
@@ -107,7 +112,7 @@ def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
     scale, shift = calibrate(margins(average, rows[0]), margins(average, rows[1]), prior)
     average *= scale
     average[-1] += shift
-    return Model({word: float(average[k]) for word, k in place.items()}, float(average[-1]))
+    return Model(dict(zip(words, average[:-1].tolist())), float(average[-1]))
 
 
 def calibrate(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> tuple[float, float]:
@@ -142,12 +147,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("bigint").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [list(features(t)) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("side"), pa.array(words, pa.list_(pa.binary()))], ["side", "words"])
+
+
+def _numbered(words: list[bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {w: k for k, w in enumerate(words)}
+        for batch in batches:
+            ids = (sorted(place[w] for w in text if w in place) for text in batch.column("words").to_pylist())
+            texts = [np.array(x, "<i4").tobytes() for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column("side"), pa.array(texts, pa.binary())], ["side", "ids"])
+
+    return run
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of ids that aren't held out.
 
     Confirmed toxic texts and texts taken without regard to labels are those with
     the smallest hashes of id and text, POSITIVES and UNLABELLED at most. The prior
     is the share of toxic labels. Without any toxic label every score is the prior's.
+    Features are counted and numbered in Spark; only those that are frequent enough,
+    and each text's numbers, come to the driver.
     """
     marked = labels.select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
     marked = marked.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -156,19 +180,21 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = texts.filter(~held_out(F.col("doc_id")))
 
-    def sample(rows: DataFrame, n: int, salt: int) -> list[bytes]:
+    def sample(rows: DataFrame, n: int, salt: int) -> DataFrame:
         # Ids first: texts never meet in one task.
         ids = rows.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id").limit(n)
         picked = texts.join(F.broadcast(ids.dropDuplicates()), "doc_id")
-
-        @F.pandas_udf("binary")
-        def joined(column: pd.Series) -> pd.Series:
-            return column.map(lambda t: b" ".join(sorted(features(t))))
-
-        return sorted(picked.select(joined("text").alias("words")).toPandas()["words"])
-
-    toxic = sample(marked.filter("toxic = 1"), POSITIVES, 1)
-    return fit(toxic, sample(texts, UNLABELLED, 2), share)
+        return picked.select(F.lit(salt).alias("side"), "text").mapInArrow(_features, "side int, words array<binary>")
+
+    sampled = cut_lineage(sample(marked.filter("toxic = 1"), POSITIVES, 1).union(sample(texts, UNLABELLED, 2)))
+    least = max(LEAST_TEXTS, LEAST_SHARE * sampled.count())
+    counted = sampled.select(F.explode("words").alias("word")).groupBy("word").count()
+    words = sorted(counted.filter(F.col("count") >= least).select("word").toArrow().column("word").to_pylist())
+    found = sampled.mapInArrow(_numbered(words), "side int, ids binary").toArrow()
+    by_side: dict[int, list[bytes]] = {1: [], 2: []}
+    for side, ids in zip(found.column("side").to_pylist(), found.column("ids").to_pylist()):
+        by_side[side].append(ids)
+    return fit(sorted(by_side[1]), sorted(by_side[2]), words, share)
 
 
 def score_of(model: Model) -> Column:

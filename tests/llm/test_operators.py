@@ -420,6 +420,20 @@ def test_toxic_words_are_learned(spark, empty):
     assert toxicity.score_toxicity(df, marks.limit(0)).count() == 601
 
 
+@pytest.fixture
+def fitted(monkeypatch):
+    """The arguments that ``toxicity.fit`` is called with."""
+    calls, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a: (calls.append(a), fit(*a))[1])
+    return calls
+
+
+def test_samples_hold_4000_toxic_and_12000_other_texts(spark, fitted):
+    df = spark.range(20000).selectExpr("id as doc_id", "'a text of few words' as text")
+    toxicity.learn(df, df.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic"))
+    assert [len(side) for side in fitted[0][:2]] == [4000, 12000]
+
+
 def test_calibration_restores_shrunk_margins():
     noise = np.random.default_rng(12)
     f = np.concatenate([noise.normal(3, 1, 1000), noise.normal(-3, 1, 9000)])

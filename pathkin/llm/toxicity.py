@@ -147,10 +147,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("bigint").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+SAMPLED = "side int, doc_id bigint, hash bigint, words array<binary>"
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of the sampled rows (side, doc_id, hash, text); a row that a partition repeats is left out."""
+    seen: set[tuple] = set()
     for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("side", "doc_id", "hash"))))
+        new = []
+        for k, key in enumerate(keys):
+            if key not in seen:
+                seen.add(key)
+                new.append(k)
+        batch = batch.take(pa.array(new, pa.int64()))
         words = [list(features(t)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("side"), pa.array(words, pa.list_(pa.binary()))], ["side", "words"])
+        columns = [*(batch.column(c) for c in ("side", "doc_id", "hash")), pa.array(words, pa.list_(pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, ["side", "doc_id", "hash", "words"])
 
 
 def _numbered(words: list[bytes]):
@@ -168,8 +181,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) of ids that aren't held out.
 
     Confirmed toxic texts and texts taken without regard to labels are those with
-    the smallest hashes of id and text, POSITIVES and UNLABELLED at most. The prior
-    is the share of toxic labels. Without any toxic label every score is the prior's.
+    the smallest hashes of id and text, POSITIVES and UNLABELLED at most; a row that
+    repeats counts once. The prior is the share of toxic labels. Without any toxic label every score is the prior's.
     Features are counted and numbered in Spark; only those that are frequent enough,
     and each text's numbers, come to the driver.
     """
@@ -180,13 +193,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = texts.filter(~held_out(F.col("doc_id")))
 
-    def sample(rows: DataFrame, n: int, salt: int) -> DataFrame:
-        # Ids first: texts never meet in one task.
-        ids = rows.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id").limit(n)
-        picked = texts.join(F.broadcast(ids.dropDuplicates()), "doc_id")
-        return picked.select(F.lit(salt).alias("side"), "text").mapInArrow(_features, "side int, words array<binary>")
-
-    sampled = cut_lineage(sample(marked.filter("toxic = 1"), POSITIVES, 1).union(sample(texts, UNLABELLED, 2)))
+    def sample(ids: DataFrame | None, n: int, side: int) -> DataFrame:
+        # Distinct keys first: texts never meet in one task, and a row that repeats takes one place.
+        rows = texts.filter("doc_id is not null").withColumn("hash", F.xxhash64("doc_id", "text", F.lit(side)))
+        keys = rows.select("doc_id", "hash").distinct()
+        keys = keys if ids is None else keys.join(ids, "doc_id", "left_semi")
+        picked = rows.join(F.broadcast(keys.orderBy("hash", "doc_id").limit(n)), ["doc_id", "hash"])
+        picked = picked.select(F.lit(side).alias("side"), "doc_id", "hash", "text")
+        return picked.mapInArrow(_features, SAMPLED).dropDuplicates(["side", "doc_id", "hash"])
+
+    sampled = sample(marked.filter("toxic = 1").select("doc_id"), POSITIVES, 1).union(sample(None, UNLABELLED, 2))
+    sampled = cut_lineage(sampled.select("side", "words"))
     least = max(LEAST_TEXTS, LEAST_SHARE * sampled.count())
     counted = sampled.select(F.explode("words").alias("word")).groupBy("word").count()
     words = sorted(counted.filter(F.col("count") >= least).select("word").toArrow().column("word").to_pylist())

@@ -434,6 +434,21 @@ def test_samples_hold_4000_toxic_and_12000_other_texts(spark, fitted):
     assert [len(side) for side in fitted[0][:2]] == [4000, 12000]
 
 
+def test_repeated_ids_do_not_fill_the_samples(spark, fitted, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 20)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 50)
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 1)
+    same = [(k, f"text{k} of few words") for k in range(200) if zlib.crc32(str(k).encode()) % 4 != 2]
+    hot = [(same[k][0], t) for k in range(4) for t in ["the same row"] * 300 + [f"other{j}" for j in range(5)]]
+    df = spark.createDataFrame(same + hot, "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(i, 1) for i, _ in same], "doc_id long, toxic int")
+    toxicity.learn(df, marks)
+    assert [len(side) for side in fitted[0][:2]] == [20, 50]
+    # 'the same row' of four ids stands in each sample four times at most.
+    place = fitted[0][2].index(b"row") if b"row" in fitted[0][2] else -1
+    assert all(sum(place in np.frombuffer(t, "<i4") for t in side) <= 4 for side in fitted[0][:2])
+
+
 def test_calibration_restores_shrunk_margins():
     noise = np.random.default_rng(12)
     f = np.concatenate([noise.normal(3, 1, 1000), noise.normal(-3, 1, 9000)])

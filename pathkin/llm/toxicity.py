@@ -21,8 +21,7 @@ from pathkin.session import cut_lineage
 #: Bounds of the two samples that the model is fitted on.
 POSITIVES = 4_000
 UNLABELLED = 12_000
-#: A word must stand in this share of the sample's texts, and in so many.
-LEAST_SHARE = 0.005
+#: A word must stand in so many of the samples' texts, whatever their number; the penalty weighs it.
 LEAST_TEXTS = 5
 EPOCHS = 150
 RATE = 0.02
@@ -204,9 +203,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     sampled = sample(marked.filter("toxic = 1").select("doc_id"), POSITIVES, 1).union(sample(None, UNLABELLED, 2))
     sampled = cut_lineage(sampled.select("side", "words"))
-    least = max(LEAST_TEXTS, LEAST_SHARE * sampled.count())
     counted = sampled.select(F.explode("words").alias("word")).groupBy("word").count()
-    words = sorted(counted.filter(F.col("count") >= least).select("word").toArrow().column("word").to_pylist())
+    words = sorted(counted.filter(F.col("count") >= LEAST_TEXTS).select("word").toArrow().column("word").to_pylist())
     found = sampled.mapInArrow(_numbered(words), "side int, ids binary").toArrow()
     by_side: dict[int, list[bytes]] = {1: [], 2: []}
     for side, ids in zip(found.column("side").to_pylist(), found.column("ids").to_pylist()):

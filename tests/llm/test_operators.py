@@ -449,6 +449,21 @@ def test_repeated_ids_do_not_fill_the_samples(spark, fitted, monkeypatch):
     assert all(sum(place in np.frombuffer(t, "<i4") for t in side) <= 4 for side in fitted[0][:2])
 
 
+def test_words_of_few_toxic_texts_are_learned(spark):
+    noise, rows = np.random.default_rng(13), []
+    for k in range(2400):
+        words = noise.choice(WORDS, 30).tolist()
+        if k % 6 == 0:
+            words[3] = "vilest"
+        rows.append([k, words])
+    few = [words for k, words in rows if k % 6 == 0 and zlib.crc32(str(k).encode()) % 4 != 2][:4]
+    for words in few:
+        words[3] = "raro"
+    df = spark.createDataFrame([(k, " ".join(words)) for k, words in rows], "doc_id long, text string")
+    model = toxicity.learn(df, df.selectExpr("doc_id", "cast(doc_id % 6 = 0 as int) as toxic"))
+    assert model.weights[b"vilest"] > 0 and model.weights[b"raro"] > 0
+
+
 def test_calibration_restores_shrunk_margins():
     noise = np.random.default_rng(12)
     f = np.concatenate([noise.normal(3, 1, 1000), noise.normal(-3, 1, 9000)])

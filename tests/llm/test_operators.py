@@ -188,6 +188,14 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert by_id(got, "class_id", "n_links") == sorted([(i, 0, 59) for i in range(60)], key=repr)
 
 
+def test_links_of_two_long_texts_count_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "UNIT", 400)
+    # Near copies of 300 words, each longer than half of UNIT: with some, no text is on the other side.
+    rows = [(k, " ".join([*(f"w{k // 2}x{n}" for n in range(300)), f"tail{k}"])) for k in range(16)]
+    got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(got, "class_id", "n_links") == sorted([(k, k // 2 * 2, 1) for k in range(16)], key=repr)
+
+
 def test_bands_reach_the_recall():
     b = jaccard.bands_for(0.8, 0.9995, 6)
     assert 1 - (1 - 0.8**6) ** b >= 0.9995 > 1 - (1 - 0.8**6) ** (b - 1)

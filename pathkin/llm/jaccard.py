@@ -281,10 +281,17 @@ def similar_documents(
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their class, with all their columns.
+    """One row of every class of ``docs``, with all its columns.
 
-    Rows that repeat a doc_id stay together; so do rows of a class without an id.
+    It is the row of the least doc_id; rows without an id come last. Rows are told
+    apart by their own numbers: of rows that repeat, one is kept, and rows of one
+    doc_id with different texts are in different classes. Each row with a null or
+    empty text is kept.
     """
-    classes = similar_documents(docs.select("doc_id", "text"))
-    gone = cut_lineage(classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    numbered = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    classes = similar_documents(numbered.select(F.col("_row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("_row"), "class_id")
+    ids = numbered.select("_row", F.col("doc_id").cast("bigint").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "_row")
+    kept = classes.join(ids, "_row").groupBy("class_id").agg(F.min(order).alias("least"))
+    return numbered.join(kept.select(F.col("least._row").alias("_row")), "_row", "left_semi").select(docs.columns)

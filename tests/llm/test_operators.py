@@ -196,6 +196,14 @@ def test_links_of_two_long_texts_count_once(spark, monkeypatch):
     assert by_id(got, "class_id", "n_links") == sorted([(k, k // 2 * 2, 1) for k in range(16)], key=repr)
 
 
+def test_one_row_of_each_class_is_kept(spark):
+    a, b = prose(21, 60), prose(22, 60)
+    rows = [(5, a), (5, a), (None, a), (3, a), (3, b), (None, b), (7, None), (None, ""), (8, "")]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("text", "doc_id"))
+    want = [(a, 3), (b, 3), (None, 7), ("", None), ("", 8)]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_bands_reach_the_recall():
     b = jaccard.bands_for(0.8, 0.9995, 6)
     assert 1 - (1 - 0.8**6) ** b >= 0.9995 > 1 - (1 - 0.8**6) ** (b - 1)

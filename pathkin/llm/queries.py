@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pathkin.llm import bpe, circulant, hmm, huffman, jaccard, licenses, mtree, packing, quality, secret_scan, toxicity
+from pathkin.llm import bpe, circulant, hmm, huffman, jaccard, licenses, mtree, packing, phrases, quality, secret_scan, toxicity
 from pathkin.session import stage_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +77,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return circulant.near_duplicates(table(spark, folder, "documents"))
 
@@ -94,11 +98,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_packing,
         op10_toxicity,
+        op11_phrase_collocations,
         op13_minhash_near_dedup,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op11_phrase_collocations": phrases.ORACLE,
     "op2_exact_top_k": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x

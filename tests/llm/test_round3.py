@@ -106,3 +106,65 @@ def test_circulant_long_text(spark):
     docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "short")], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in circulant.near_duplicates(docs).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def phrase_docs():
+    rng = np.random.default_rng(7)
+    small = BASE[:8] + ["Ünï", "dé"]
+    rows = []
+    for i in range(1500):
+        n = int(rng.integers(0, 60))
+        words = list(rng.choice(small, n))
+        text = " ".join(words)
+        if i % 3 == 0:
+            text = text.replace(" beta ", ". Beta\t")
+        if i % 5 == 0:
+            text += " alpha beta gamma delta epsilon zeta"
+        rows.append((i, text, ["en", "de", None][i % 3]))
+    rows += [(None, None, "en"), (1000, "", "en"), (1001, "ALPHA BETA GAMMA " * 30000, "fr")]
+    return rows
+
+
+def test_phrase_trie_spills_equal_counter():
+    from collections import Counter
+
+    from pathkin.llm import phrases
+
+    texts = [t or "" for _, t, _ in phrase_docs()[:200]]
+    want = Counter()
+    for t in texts:
+        for words in phrases.pieces(t):
+            for k in range(1, 6):
+                for i in range(len(words) - k + 1):
+                    want[" ".join(words[i : i + k])] += 1
+    old = phrases.BURST
+    phrases.BURST = 3
+    try:
+        trie, got = phrases.PhraseTrie(limit=50), Counter()
+        for t in texts:
+            counts = Counter()
+            for words in phrases.pieces(t):
+                phrases._grams(words, counts)
+            for _, phrase, _, c in trie.add("x", counts):
+                got[phrase] += c
+        for _, phrase, _, c in trie.spill():
+            got[phrase] += c
+    finally:
+        phrases.BURST = old
+    assert got == want
+
+
+def test_collocations_equal_their_sql(spark, tmp_path):
+    import duckdb
+    import pandas as pd
+
+    from pathkin.llm import phrases
+
+    rows = phrase_docs()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = sorted(tuple(r) for r in phrases.collocations(docs).collect())
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "lang"])
+    want = sorted(tuple(r) for r in duckdb.sql(phrases.ORACLE.replace("FROM documents", "FROM documents")).fetchall())
+    assert got == want and len(got) > 20
+    assert {r[0] for r in got} == {"en", "de", "und", "fr"}
+    assert phrases.collocations(docs.limit(0)).count() == 0

@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pathkin.llm import bpe, circulant, hmm, huffman, jaccard, licenses, mtree, packing, phrases, quality, secret_scan, toxicity
+from pathkin.llm import bpe, circulant, hmm, huffman, jaccard, licenses, mtree, packing, phrases, quality, secret_scan, toxicity, variants
 from pathkin.session import stage_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,6 +81,10 @@ def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents"))
+
+
 def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return circulant.near_duplicates(table(spark, folder, "documents"))
 
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_toxicity,
         op11_phrase_collocations,
+        op12_spelling_variants,
         op13_minhash_near_dedup,
     )
 }

@@ -168,3 +168,92 @@ def test_collocations_equal_their_sql(spark, tmp_path):
     assert got == want and len(got) > 20
     assert {r[0] for r in got} == {"en", "de", "und", "fr"}
     assert phrases.collocations(docs.limit(0)).count() == 0
+
+
+def variant_rows():
+    rng = np.random.default_rng(3)
+    stems = ["colour", "behaviour", "organise", "analysing", "théâtre", "naïveté", "straße", "encyclopaedia"]
+    rows, i = [], 0
+    for stem in stems:
+        forms = [stem, stem[:-1], stem + "s", stem[:2] + "x" + stem[3:], stem[:3] + stem[4:], "q" + stem]
+        for k, form in enumerate(forms):
+            for _ in range(int(rng.integers(1, 4)) * (30 if k == 0 else 2) + (k == 2) * 4):
+                rows.append((i, f"The {form.upper() if i % 7 == 0 else form}, and {form}!", "en"))
+                i += 1
+    rows += [(None, "colour colour colour colour colour", "en"), (i + 1, None, "en"), (i + 2, "", "en")]
+    rows += [(i + 3, "abcdefgh " * 3000, "en")]
+    return rows
+
+
+def brute_variants(rows):
+    import re
+    import zlib
+
+    counts = {}
+    for doc_id, text, _ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+            if doc_id is not None:
+                h = zlib.crc32(f"{doc_id}:{run}".encode())
+                if h % 199 == 0:
+                    p = h % len(run)
+                    run = run[:p] + run[p + 1 :]
+            counts[run] = counts.get(run, 0) + 1
+    vocab = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+    def one_edit(a, b):
+        if a == b or abs(len(a) - len(b)) > 1:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        if len(a) > len(b):
+            a, b = b, a
+        return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    out = {}
+    for w, n in vocab.items():
+        near = [v for v in vocab if one_edit(w, v)]
+        best = min(near, key=lambda v: (-vocab[v], v)) if near else None
+        form = best if best is not None and vocab[best] >= 5 * n else None
+        out[w] = [form, n, len(near), vocab[form] if form else None]
+    for w, row in out.items():
+        root = w
+        while out[root][0] is not None:
+            root = out[root][0]
+        row.append(root)
+    return {w: (f, root, n, k, fn) for w, (f, n, k, fn, root) in out.items()}
+
+
+def test_spelling_variants_equal_brute_force(spark):
+    from pathkin.llm import variants
+
+    rows = variant_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in variants.spelling_variants(docs).collect()}
+    want = brute_variants(rows)
+    assert got == want
+    assert any(v[0] for v in want.values())
+    assert variants.spelling_variants(docs.limit(0)).count() == 0
+
+
+def test_spelling_variants_in_a_grid_of_cells(spark):
+    from pathkin.llm import variants
+
+    old = variants.CELL
+    variants.CELL = 3
+    try:
+        rows = variant_rows()
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        got = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in variants.spelling_variants(docs).collect()}
+    finally:
+        variants.CELL = old
+    assert got == brute_variants(rows)
+
+
+def test_find_one_edit():
+    from pathkin.llm import variants
+
+    rests = sorted(["abc", "abd", "ab", "abcd", "xbc", "bc", "abcde", "acb", "zzz"])
+    assert sorted(set(variants._find(rests, "abc"))) == ["ab", "abcd", "abd", "bc", "xbc"]
+    assert sorted(set(variants._find(rests, ""))) == []
+    assert sorted(set(variants._find(["a"], ""))) == ["a"]

@@ -63,4 +63,5 @@ from pathkin.sources.readers import (
     read_system_scores,
     read_triples,
 )
+from pathkin.sources.stages import clean_stage, fingerprint, restartable, stage_manifest
 from pathkin.sources.writers import marginal_lines, write_marginals, write_stage, write_tsv

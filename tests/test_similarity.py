@@ -46,7 +46,8 @@ def test_known_corpus(spark, rows, name, tmp_path):
     lines = spark.createDataFrame([(t,) for t in texts], "value string")
     assert rows(pk.discover_rules(lines)) == want
     assert rows(pk.discover_rules(lines, stage_dir=str(tmp_path / "stages"))) == want
-    stored = spark.read.parquet(str(tmp_path / "stages" / "triples"))
+    folder = str(tmp_path / "stages" / "triples")
+    stored = spark.read.parquet(f"{folder}/{pk.stage_manifest(spark, folder)['data']}")
     assert stored.count() == pk.count_corpus(lines).count()
 
 

@@ -31,7 +31,9 @@ LEAST_COUNT = 100
 TOP = 2000
 
 #: Entries of one task's trie before subtrees are written out.
-LIMIT = 1_000_000
+LIMIT = 200_000
+#: Rows of a spilled run handed to Spark at once.
+SPILL_ROWS = 50_000
 #: Entries of one container before it bursts.
 BURST = 4096
 
@@ -128,12 +130,16 @@ def _batch(rows: list) -> pa.RecordBatch:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trie = PhraseTrie()
     for batch in batches:
-        by_lang: dict[str, Counter] = {}
+        rows = []
+        # One text's counts at a time: a task holds the trie and one text's phrases.
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            counts = by_lang.setdefault(lang, Counter())
+            counts = Counter()
             for words in pieces(text):
                 _grams(words, counts)
-        rows = [row for lang, counts in by_lang.items() for row in trie.add(lang, counts)]
+            rows.extend(trie.add(lang, counts))
+            if len(rows) >= SPILL_ROWS:
+                yield _batch(rows)
+                rows = []
         if rows:
             yield _batch(rows)
     rows = list(trie.spill())

@@ -132,12 +132,13 @@ def parse_system_scores(
     """path_a, path_b, score.
 
     ``layout="tab"``: the first three tab-separated fields, paths stripped; a
-    score that is no number becomes 0.0, or null with ``coerce=False``.
+    score that is no number, or missing on a line of two fields, becomes 0.0, or
+    null with ``coerce=False``. Lines of one field are dropped.
     ``layout="whitespace"``: the last blank-separated field is the score, the
     first is path_a, what lies between is path_b; other lines are dropped.
     """
     if layout == "tab":
-        fields = lines.select(F.split("value", fixed.FIELD).alias("f")).filter(F.size("f") >= 3)
+        fields = lines.select(F.split("value", fixed.FIELD).alias("f")).filter(F.size("f") >= 2)
         score = score_or_zero(_field(2)) if coerce else to_score(_field(2))
         return fields.select(
             trim_control(_field(0)).alias("path_a"),

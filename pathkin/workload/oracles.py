@@ -299,8 +299,8 @@ select 'PS' as kind, path, flag as slot, '' as word, amount as n from stored whe
 union all select 'SW', '', flag, supplier, amount from stored where k = 1
 union all select 'TOTAL', '', '', '', amount from stored where k = 2""",
     "parse_system": f"""{_STORED} select path as path_a, supplier as path_b,
-  case k when 1 then cast(cents as double) when 2 then 0.0 else cents / 100.0 end as score
-  from stored where k <> 4""",
+  case k when 1 then cast(cents as double) when 2 then 0.0 when 4 then 0.0 else cents / 100.0 end as score
+  from stored""",
     "parse_system_ws": f"""{_STORED} select supplier as path_a, case k when 4 then flag else path end as path_b,
   case when k in (3, 4) then cast(cents as double) else cents / 100.0 end as score
   from stored where k not in (1, 2)""",

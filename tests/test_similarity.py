@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import pathkin as pk
+from pathkin.session import cut_lineage
 
 KNOWN_LINES = {
     "P1": (
@@ -237,3 +238,47 @@ def test_path_totals_add_up(mi_rows):
     whole = mi_rows.agg(F.sum("mi")).first()[0]
     parts = pk.path_totals(mi_rows).agg(F.sum("total_mi")).first()[0]
     assert math.isclose(whole, parts, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("dense", [0.0, 1.5, 4.0, math.inf])
+@pytest.mark.parametrize("block_rows", [3, 1000])
+def test_asked_pairs_are_the_same_on_both_ways(spark, mi_rows, skewed, dense, block_rows):
+    want = brute(skewed)[2]
+    asked = sorted(want)[::2] + [("p3", "unknown"), ("p4", None)]
+    pairs = spark.createDataFrame(asked, "path_a string, path_b string")
+    got = as_map(pk.score_pairs(pairs, mi_rows, block_rows, dense=dense))
+    close(got, {k: want[k] for k in asked if k in want})
+
+
+def test_facts_of_dense_pairs_are_not_copied_to_each_pair(spark):
+    """All pairs of 12 paths over 900 features: only facts and sums may be shuffled."""
+    mi = cut_lineage(
+        spark.range(12 * 900).selectExpr(
+            "concat('p', id % 12) AS path", "'X' AS slot", "concat('w', id div 12) AS word", "1.0D AS mi"
+        )
+    )
+    pairs = mi.select("path").distinct().alias("l").join(mi.select("path").distinct().alias("r"), F.col("l.path") < F.col("r.path"))
+    scored = pk.score_pairs(pairs.select(F.col("l.path").alias("path_a"), F.col("r.path").alias("path_b")), mi)
+    assert scored.count() == 66
+    assert shuffled_rows(scored) < 4 * 12 * 900
+
+
+def shuffled_rows(df):
+    """Rows written by the shuffles of ``df``, after its run."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    total, todo = 0, [execution.executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name in ("ShuffleQueryStageExec", "BroadcastQueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if name == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total

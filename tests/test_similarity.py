@@ -258,9 +258,14 @@ def test_facts_of_dense_pairs_are_not_copied_to_each_pair(spark):
         )
     )
     pairs = mi.select("path").distinct().alias("l").join(mi.select("path").distinct().alias("r"), F.col("l.path") < F.col("r.path"))
-    scored = pk.score_pairs(pairs.select(F.col("l.path").alias("path_a"), F.col("r.path").alias("path_b")), mi)
-    assert scored.count() == 66
-    assert shuffled_rows(scored) < 4 * 12 * 900
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = pk.score_pairs(pairs.select(F.col("l.path").alias("path_a"), F.col("r.path").alias("path_b")), mi)
+        assert shuffled_rows(scored) < 4 * 12 * 900
+        assert scored.count() == 66
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def shuffled_rows(df):

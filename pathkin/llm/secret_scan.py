@@ -6,10 +6,10 @@ the alphabet's use, a runs test about the middle of the alphabet, and the serial
 correlation of neighbours. Fisher's method joins the three p-values to a score
 that is high for random strings and minute for ordinary text.
 
-How far chance lets ordinary text look random depends on its length. So each
-document also gives one run of its plain letters per class of lengths, and their
-scores are the null distribution of that class. A candidate's p-value is the
-share of them that look at least as random; a Benjamini-Hochberg bound over all
+How far chance lets ordinary text look random depends on its length. So for every
+class of lengths the plain letters of every whole text are cut into runs of that
+length, and the scores of all runs are the null distribution of the class. A
+candidate's p-value is the share of them that look at least as random; a Benjamini-Hochberg bound over all
 candidates, in which longer strings weigh more, holds the share of false finds.
 """
 
@@ -36,11 +36,14 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}")
-LETTERS = re.compile(r"[A-Za-z]+")
+_LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
+_OTHER = bytes(set(range(256)) - set(string.ascii_letters.encode()))
 #: Least lengths of the classes of lengths.
 CLASSES = (16, 20, 24, 32, 48, 64, 96)
 #: A score s falls into bin floor(-log2 s); the last bin holds the rest.
 BINS = 64
+#: Plain letters tested at once in a Python worker, about.
+CHUNK = 1 << 20
 #: Share of false finds among the strings the battery adds.
 FALSE_SHARE = 0.01
 
@@ -68,7 +71,7 @@ _SETS = tuple((frozenset(e), {c: k for k, c in enumerate(e)}) for e in ENCODINGS
 
 SCAN = (
     "doc_id bigint, base array<struct<start:bigint,kind:int,end:bigint>>,"
-    " found array<struct<start:bigint,end:bigint,cell:int>>, plain array<int>"
+    " found array<struct<start:bigint,end:bigint,cell:int>>, plain array<struct<cell:int,n:bigint>>"
 )
 
 
@@ -143,14 +146,77 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     return [(m.start(), m.end(), _cell(m[0])) for m in CANDIDATE.finditer(text)]
 
 
-def plain_cells(text: str) -> list[int]:
-    """Cells of one run of plain letters per class of lengths, from the middle of ``text`` on."""
-    need, letters, middle = CLASSES[-1], "", len(text) // 2
-    for m in LETTERS.finditer(text, middle):
-        letters += m[0].lower()
-        if len(letters) >= need:
-            break
-    return [_cell(letters[:n]) for n in CLASSES if n <= len(letters)]
+def _letter_runs(texts: list[bytes], n: int) -> np.ndarray:
+    """Places in the alphabet of the runs of ``n`` letters of each text, one run a row."""
+    joined = b"".join(t[: len(t) // n * n] for t in texts)
+    return np.frombuffer(joined, np.uint8).reshape(-1, n) - np.uint8(97)
+
+
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+
+def _minus_log(p: np.ndarray) -> np.ndarray:
+    return -np.log(np.maximum(p.astype(float), 1e-300))
+
+
+def run_cells(x: np.ndarray) -> np.ndarray:
+    """The cells of runs of lower-case letters, one a row, as ``_cell`` gives them."""
+    rows, n = x.shape
+    m = len(string.ascii_lowercase)
+    if not rows:
+        return np.zeros(0, np.int64)
+    counts = np.bincount((np.arange(rows)[:, None] * m + x).ravel(), minlength=rows * m).reshape(rows, m)
+    squares, at_chi = np.unique((counts * counts).sum(axis=1), return_inverse=True)
+    chi = squares * m / n - n
+    variance = 2 * (m - 1) * (n - 1) / n
+    scale, df = variance / (2 * (m - 1)), 2 * (m - 1) ** 2 / variance
+    cube = (np.maximum(chi, 0.0) / scale / df) ** (1 / 3)
+    z = (cube - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    total = _minus_log(0.5 * _erfc(z / math.sqrt(2)))[at_chi]
+    above = x >= m // 2
+    turns = 1 + (above[:, 1:] != above[:, :-1]).sum(axis=1)
+    pairs, at_runs = np.unique(above.sum(axis=1) * (n + 1) + turns, return_inverse=True)
+    a, runs = np.divmod(pairs, n + 1)
+    mean = 2 * a * (n - a) / n + 1
+    spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-12))
+    p_runs = _erfc(np.maximum(np.abs(runs - mean) - 0.5, 0.0) / spread / math.sqrt(2)).astype(float)
+    p_runs = np.where((a == 0) | (a == n), 0.5 ** (n - 1), np.minimum(p_runs, 1.0))
+    total += _minus_log(p_runs)[at_runs]
+    # Sums of whole numbers, so that they are exact: sum d*d and sum d*d' times n.
+    k = x.astype(np.int32)
+    plain = k.sum(axis=1)
+    around = n * (k * k).sum(axis=1) - plain * plain
+    beside = n * (k[:, 1:] * k[:, :-1]).sum(axis=1) - plain * (2 * plain - k[:, 0] - k[:, -1])
+    beside = beside + (n - 1) * plain * plain / n
+    varied = around > 0
+    r = np.where(varied, beside / np.where(varied, around, 1), 0.0) + 1 / n
+    p_serial = np.minimum(_erfc(np.abs(r) * math.sqrt(n) / math.sqrt(2)).astype(float), 1.0)
+    total += _minus_log(np.where(varied, p_serial, 0.0))
+    joined = np.exp(-total) * (1 + total + total * total / 2)
+    bins = np.minimum((-np.log2(np.maximum(joined, 2.0**-BINS))).astype(np.int64), BINS - 1)
+    cells = length_class(n) * BINS + bins
+    # Runs that fit a smaller encoding than the alphabet: a to f alone, rare.
+    for i in np.flatnonzero((x < 6).all(axis=1)):
+        cells[i] = _cell(bytes(x[i] + np.uint8(97)).decode())
+    return cells
+
+
+def plain_counts(texts: list[str]) -> np.ndarray:
+    """Number of runs of plain letters by cell: for each class of lengths, all letters of
+    each whole text, lower-cased, in consecutive runs of the class's least length."""
+    out = np.zeros(len(CLASSES) * BINS, np.int64)
+    letters = [t.encode("utf-8", "surrogatepass").translate(_LOWER, _OTHER) for t in texts]
+    for n in CLASSES:
+        step, part, size = CHUNK // n * n, [], 0
+        for text in letters:
+            for start in range(0, len(text), step):
+                part.append(text[start : start + step])
+                size += len(part[-1])
+                if size >= CHUNK:
+                    out += np.bincount(run_cells(_letter_runs(part, n)), minlength=len(out))
+                    part, size = [], 0
+        out += np.bincount(run_cells(_letter_runs(part, n)), minlength=len(out))
+    return out
 
 
 def random_spans(text: str, cells: frozenset[int]) -> list[tuple[int, int, int]]:
@@ -163,21 +229,22 @@ def random_spans(text: str, cells: frozenset[int]) -> list[tuple[int, int, int]]
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     spans = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     found = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cell", pa.int32())]))
+    cells = pa.list_(pa.struct([("cell", pa.int32()), ("n", pa.int64())]))
     for batch in batches:
-        base, other, plain = [], [], []
-        for text in batch.column("text").to_pylist():
-            text = text or ""
-            base.append([dict(zip(("start", "kind", "end"), s)) for s in base_spans(text)])
-            other.append([dict(zip(("start", "end", "cell"), s)) for s in candidates(text)])
-            plain.append(plain_cells(text))
+        texts = [text or "" for text in batch.column("text").to_pylist()]
+        base = [[dict(zip(("start", "kind", "end"), s)) for s in base_spans(text)] for text in texts]
+        other = [[dict(zip(("start", "end", "cell"), s)) for s in candidates(text)] for text in texts]
+        # The runs of a batch are counted together, at its first row.
+        counts = plain_counts(texts)
+        plain = [[{"cell": c, "n": counts[c]} for c in np.flatnonzero(counts)]] + [[]] * (len(texts) - 1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(base, spans), pa.array(other, found), pa.array(plain, pa.list_(pa.int32()))],
+            [batch.column("doc_id"), pa.array(base, spans), pa.array(other, found), pa.array(plain[: len(texts)], cells)],
             ["doc_id", "base", "found", "plain"],
         )
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Known forms, candidates and plain runs of every whole text, stored."""
+    """Known forms and candidates of every whole text and counts of its plain runs, stored."""
     plain = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return cut_lineage(plain.mapInArrow(_scan, SCAN))
 
@@ -188,14 +255,15 @@ def accepted_cells(scanned: DataFrame, false_share: float = FALSE_SHARE) -> froz
     Reads counts per cell only: at most BINS rows for each class.
     """
 
-    def counts(cells: Column) -> np.ndarray:
-        rows = scanned.select(F.explode(cells).alias("cell")).groupBy("cell").count().collect()
+    def counts(cells: DataFrame) -> np.ndarray:
+        rows = cells.groupBy("cell").agg(F.sum("n").alias("n")).collect()
         out = np.zeros(len(CLASSES) * BINS, np.int64)
         for r in rows:
-            out[r["cell"]] = r["count"]
+            out[r["cell"]] = r["n"]
         return out.reshape(len(CLASSES), BINS)
 
-    return choose_cells(counts(F.col("found.cell")), counts(F.col("plain")), false_share)
+    found = scanned.select(F.explode("found.cell").alias("cell"), F.lit(1).alias("n"))
+    return choose_cells(counts(found), counts(scanned.select(F.inline("plain"))), false_share)
 
 
 def choose_cells(found: np.ndarray, plain: np.ndarray, false_share: float) -> frozenset[int]:

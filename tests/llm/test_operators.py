@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -107,6 +108,26 @@ def test_false_share_bounds_the_choice():
     assert not secret_scan.choose_cells(found * 0, plain, 0.01)
 
 
+def test_null_distribution_counts_every_plain_run(spark):
+    """Letters before the middle and after the first 96 count like all others."""
+    noise = random.Random(5)
+    texts = [" ".join("".join(noise.choices("abcdefghijklmnopqrstuvwxyz", [1 + k % 7 for k in range(26)], k=noise.randint(1, 9)))
+             for _ in range(noise.randint(0, 400))) + " Ünd-x1 " * (k % 3) for k in range(40)]
+    texts += ["", "abcdef" * 30, "z" * 200, "\ud800 letters"]
+    want = [0] * (len(secret_scan.CLASSES) * secret_scan.BINS)
+    for text in texts:
+        letters = re.sub("[^a-z]", "", text.lower() if text.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        for n in secret_scan.CLASSES:
+            for i in range(0, len(letters) - n + 1, n):
+                want[secret_scan._cell(letters[i : i + n])] += 1
+    assert secret_scan.plain_counts(texts).tolist() == want
+    assert sum(want) > 5 * len(texts) * len(secret_scan.CLASSES)
+    valid = texts[:-1]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(valid)] + [(99, None)], "doc_id long, text string")
+    got = secret_scan.scan(df).selectExpr("inline(plain)").groupBy("cell").sum("n").collect()
+    assert {r[0]: r[1] for r in got} == {k: int(v) for k, v in enumerate(secret_scan.plain_counts(valid)) if v}
+
+
 def test_redaction_keeps_rows_and_hides_secrets(docs):
     got = secret_scan.redact(docs)
     assert got.columns == docs.columns and got.count() == docs.count()

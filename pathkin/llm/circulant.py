@@ -5,18 +5,15 @@
    shingle hash is the first, and coordinate k is the least value of the second,
    a fixed bijective mixer, over the set shifted circularly by k.
 2. Texts of equal sets share a node: the least row number among them.
-3. Nodes that share a band hash form a bucket. Every node of a bucket is compared,
-   on full sets, with the bucket's least node (its leader), in one pass: work and
-   shuffle grow with the bucket's size, not its square, and no node is left out
-   by a cap.
-4. The confirmed links give connected components; a component is named by the
-   least doc_id of its rows.
-
-A link between two nodes that are leaders of none of the buckets they share is
-found only through those leaders, or not at all where the leaders are far from
-both (a bucket of texts that share one passage, say); every link with a leader is
-confirmed. A similar pair shares about six of the fifteen bands, so it is missed
-only where every one of them has such a leader. Shingles are told apart by 64-bit hashes.
+3. Nodes that share a band hash form a bucket; each is tied to the bucket's least
+   node. The connected components of these ties hold every candidate pair.
+4. Components are dealt out as units of bounded size, a larger one cut into blocks
+   that meet two by two (``jaccard.verify_groups``). Every two nodes of a unit that
+   share a band hash are compared on full sets; a spanning forest of the true
+   links is kept, so neither pairs nor copies of sets for each pair are shuffled.
+5. The components of the forests are named by the least doc_id of their rows.
+
+Shingles are told apart by 64-bit hashes.
 """
 
 import uuid
@@ -28,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pathkin.llm.components import connected_components
+from pathkin.llm.jaccard import verify_groups
 from pathkin.session import cut_lineage
 
 SHINGLE = 3
@@ -118,8 +116,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [_signed(shingles(t)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
+        sets = [shingles(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
+            ["node", "grams", "size"],
+        )
 
 
 def _bucketed(df: DataFrame, key: str) -> tuple[DataFrame, str]:
@@ -145,19 +146,6 @@ def _drop(df: DataFrame) -> None:
 SKETCH = "row long, n_shingles long, fp1 long, fp2 long, bands array<bigint>"
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(leader, node, similar) for pairs of nodes, compared on their full sets."""
-    a = sets.select(F.col("node").alias("leader"), F.col("set").alias("a"))
-    b = sets.select("node", F.col("set").alias("b"))
-    both = F.size(F.array_intersect("a", "b")).cast("bigint")
-    union = F.size("a") + F.size("b") - both
-    return (
-        pairs.join(a, "leader")
-        .join(b, "node")
-        .select("leader", "node", (F.lit(SIMILAR[1]) * both >= F.lit(SIMILAR[0]) * union).alias("similar"))
-    )
-
-
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per row of ``docs``.
 
@@ -204,13 +192,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     pairs = cut_lineage(
         banded.join(leaders.filter("size > 1"), ["band", "hash"]).filter("node <> leader").select("leader", "node").distinct()
     )
-    needed = pairs.select(F.col("leader").alias("row")).unionByName(pairs.select(F.col("node").alias("row"))).distinct()
-    sets = cut_lineage(rows.join(needed, "row", "left_semi").select("row", "text").mapInArrow(_sets, "node long, set array<bigint>"))
+    ties = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    found = cut_lineage(connected_components(ties).withColumnsRenamed({"component": "group"}))
+    _drop(pairs)
+    needed = rows.join(found.select(F.col("node").alias("row")), "row", "left_semi").select("row", "text")
+    sets = cut_lineage(needed.mapInArrow(_sets, "node long, grams binary, size long"))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    edges = cut_lineage(_confirm(pairs, sets).filter("similar").select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    bands = nodes.filter("own").select("node", "bands", F.lit(1).cast("bigint").alias("copies"))
+    verified = verify_groups(sets.join(found, "node").join(bands, "node"), SIMILAR[0] / SIMILAR[1], BANDS)
     _drop(sets)
-    _drop(pairs)
-    parts = connected_components(edges)
+    parts = connected_components(verified.filter("b is not null").select("a", "b"))
     placed = nodes.join(parts, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("part"))
     names = placed.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     return placed.join(names, "part").select(

@@ -209,6 +209,32 @@ def _verify(similarity: float, bands: int):
     return run
 
 
+def verify_groups(sets: DataFrame, similarity: float, bands: int) -> DataFrame:
+    """(a, b, links): a spanning forest of the true links, and with b null the links of each node a.
+
+    ``sets`` is (node, group, copies, size, grams, bands): nodes of a group that
+    share a band hash are compared by their full sets, in units of bounded size. The
+    result is stored.
+    """
+    sizes = sets.groupBy("group").agg(F.sum("size").alias("grams_all"))
+    sizes = cut_lineage(sizes.withColumn("blocks", F.ceil(F.col("grams_all") / UNIT).cast("int")))
+    small = sizes.filter("blocks = 1").agg(F.sum("grams_all")).first()[0] or 0
+    units = max(1, -(-small // UNIT))
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    placed = sets.join(sizes, "group").withColumn("side", block)
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), F.lit(units))).otherwise(F.col("group"))
+    cells = cells.select(
+        "group", "node", "copies", "side", "grams", "bands",
+        unit.alias("unit"), "blocks", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+    )
+    return cut_lineage(
+        cells.groupBy("unit", "blocks", "i", "j").applyInArrow(
+            _verify(similarity, bands), "a bigint, b bigint, links bigint"
+        )
+    )
+
+
 def similar_documents(
     docs: DataFrame, similarity: float = SIMILARITY, n: int = N, recall: float = RECALL, rows: int = ROWS
 ) -> DataFrame:
@@ -248,23 +274,7 @@ def similar_documents(
     sets = cut_lineage(sets.dropDuplicates(["node"]).join(found, "node").join(nodes, "node"))
     wanted = sketched.filter("node is not null").select("node", "bands").join(found.select("node"), "node", "left_semi")
     sets = sets.join(wanted.dropDuplicates(["node"]), "node")
-    sizes = sets.groupBy("group").agg(F.sum("size").alias("grams_all"))
-    sizes = cut_lineage(sizes.withColumn("blocks", F.ceil(F.col("grams_all") / UNIT).cast("int")))
-    small = sizes.filter("blocks = 1").agg(F.sum("grams_all")).first()[0] or 0
-    units = max(1, -(-small // UNIT))
-    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    placed = sets.join(sizes, "group").withColumn("side", block)
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), F.lit(units))).otherwise(F.col("group"))
-    cells = cells.select(
-        "group", "node", "copies", "side", "grams", "bands",
-        unit.alias("unit"), "blocks", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-    )
-    verified = cut_lineage(
-        cells.groupBy("unit", "blocks", "i", "j").applyInArrow(
-            _verify(similarity, bands), "a bigint, b bigint, links bigint"
-        )
-    )
+    verified = verify_groups(sets, similarity, bands)
     links = verified.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     classes = connected_components(verified.filter("b is not null").select("a", "b"))
     named = nodes.join(classes, "node", "left").join(links, "node", "left").select(

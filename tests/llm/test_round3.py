@@ -7,7 +7,7 @@ import pytest
 
 pytest.importorskip("pathkin.llm")
 
-from pathkin.llm import circulant
+from pathkin.llm import circulant, jaccard
 
 BASE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
@@ -84,6 +84,37 @@ def test_circulant_near_duplicates_equal_brute_force(spark):
     assert want[3][1] == 1 and want[6][1] == 5 and want[7][1] == 7 and want[10] == (1, 10)
 
 
+def test_links_between_nodes_that_lead_no_bucket(spark, monkeypatch):
+    """Pairs of near copies whose every shared bucket is led by a far text are linked all the same."""
+    texts, pairs = [], 20
+    for k in range(pairs):
+        text = prose(500 + k, 120)
+        texts += [" ".join(text), edited(text, 900 + k, 1)]
+    texts = ["far from all of the others"] + texts
+    sets = [circulant.shingles(t) for t in texts]
+    assert all(100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for a, b in zip(sets[1::2], sets[2::2]))
+
+    def one_bucket(signature, rows=circulant.ROWS):
+        return np.tile(np.arange(signature.shape[1] // rows, dtype=np.uint64), (len(signature), 1))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for unit in (700, jaccard.UNIT):
+        monkeypatch.setattr(jaccard, "UNIT", unit)
+        plain = circulant._sketch
+
+        def sketched(batches, bucket=one_bucket, plain=plain):
+            kept, circulant.band_hashes = circulant.band_hashes, bucket
+            try:
+                yield from plain(batches)
+            finally:
+                circulant.band_hashes = kept
+
+        monkeypatch.setattr(circulant, "_sketch", sketched)
+        got = {r.doc_id: r.component_id for r in circulant.near_duplicates(docs).collect()}
+        monkeypatch.setattr(circulant, "_sketch", plain)
+        assert got == {0: 0} | {i: i - (i + 1) % 2 for i in range(1, 2 * pairs + 1)}
+
+
 def test_circulant_empty_and_details(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert circulant.near_duplicates(docs).count() == 0

@@ -102,10 +102,11 @@ def test_links_between_nodes_that_lead_no_bucket(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "UNIT", unit)
         plain = circulant._sketch
 
-        def sketched(batches, bucket=one_bucket, plain=plain):
+        def sketched(batches, bucket=one_bucket):
+            # Runs in a worker, whose module still has the plain _sketch.
             kept, circulant.band_hashes = circulant.band_hashes, bucket
             try:
-                yield from plain(batches)
+                yield from circulant._sketch(batches)
             finally:
                 circulant.band_hashes = kept
 

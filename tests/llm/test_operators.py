@@ -128,6 +128,13 @@ def test_null_distribution_counts_every_plain_run(spark):
     assert {r[0]: r[1] for r in got} == {k: int(v) for k, v in enumerate(secret_scan.plain_counts(valid)) if v}
 
 
+def test_redaction_learns_from_letters_of_the_whole_text(spark):
+    """The pipeline's scan sees runs that stand before the middle of a text."""
+    df = spark.createDataFrame([(1, "plain letters only " * 20 + "7 " * 400)], "doc_id long, text string")
+    counts = secret_scan.scan(df).selectExpr("inline(plain)").agg({"n": "sum"}).first()[0]
+    assert counts == sum(16 * 20 // n for n in secret_scan.CLASSES)
+
+
 def test_redaction_keeps_rows_and_hides_secrets(docs):
     got = secret_scan.redact(docs)
     assert got.columns == docs.columns and got.count() == docs.count()

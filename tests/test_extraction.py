@@ -144,6 +144,18 @@ def test_tokens_bases_and_parents(spark):
     assert [t.parent for t in got[1].p] == [None, 0]
 
 
+def test_heads_that_are_no_numbers(spark):
+    """Heads as a cast to int reads them; all white space parts pieces, with controls or without."""
+    heads = ["1", "+1", "-1", "x", "1.0", "+", "1-2", "99999999999", "\x7f1", "1e3", "\u0661", ""]
+    line = "\n".join(f"w/NN/dobj/{h}" for h in heads) + "\x0bv/NN/dobj \rq/NN\f\x01y/NN/dobj/ \x02"
+    for text in (line, line.replace("\n", " ")):
+        frame = lines_of(spark, [text])
+        got = frame.select(pk.ngram_tokens(F.col("value")).alias("t")).first().t
+        assert [t.head for t in got] == [1, 1, -1, 1, 0, 0, 0]
+    plan = frame.select(pk.ngram_tokens(F.col("value")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "0123456789) = )" in plan  # no cast, and so no exception, for other fields
+
+
 def test_segments_without_counts(spark):
     frame = lines_of(spark, [" be \t\t a/b/c d/e/f \t23\t1834,2\t,\t4x ", "  "])
     got = frame.select(pk.ngram_segments(F.col("value")).alias("s")).collect()

@@ -67,6 +67,19 @@ def test_lines_are_parsed_once(mi):
     assert plan.count("split(") <= 3
 
 
+def test_parents_are_looked_up_after_the_explode(mi):
+    """Spark interprets functions on arrays: a line needs them for its tokens and its base alone."""
+    plan = plan_of(pk.extract_arcs(mi.select(F.col("word").alias("value"))))
+    assert "places" not in plan and "AS base" in plan
+
+
+def test_windows_of_words_are_not_zipped(spark):
+    from pathkin.workload import inputs
+
+    plan = plan_of(inputs._lines(spark.createDataFrame([("a b c d",)], "text string")))
+    assert "arrays_zip" not in plan and "slice" not in plan
+
+
 def test_error_samples_are_cut_before_the_shuffle(scored):
     assert "WindowGroupLimit" in plan_of(pk.error_samples(scored))
 

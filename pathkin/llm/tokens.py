@@ -3,6 +3,8 @@
 import functools
 import os
 from collections.abc import Iterable, Iterator
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -15,6 +17,9 @@ GROUP_CHARS = 1_000_000
 TOGETHER = 4096
 KEPT_CHUNKS = 300_000
 KEPT_CHARS = 6_000_000
+#: Marks at the end of a chunk, which the pre-tokenizer parts from a letter or digit before them.
+END_MARKS = ",.;:!?"
+_LAST = itemgetter(slice(-1, None))
 
 
 class _Places(dict):
@@ -38,7 +43,8 @@ class ChunkEncoder:
     The pre-tokenizer of byte-level BPE never joins a character that is not
     white space to a space after it, so a text may be cut before each such space
     without changing an id. A text with a space after other white space is given
-    to the library whole.
+    to the library whole. Nor does it join a letter or digit to a mark after it, so
+    a chunk that ends in marks has the ids of the chunk before them and of the marks.
     """
 
     def __init__(self, path: str):
@@ -88,8 +94,8 @@ class ChunkEncoder:
         after the other in one text; the bytes of its ids tell where each one ends.
         """
         starts, lengths = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
-        sizes = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in chunks), np.int64, len(chunks))
-        spaced = np.fromiter((c[:1] == " " for c in chunks), bool, len(chunks)) & ~open_end
+        sizes = np.fromiter(map(len, map(str.encode, chunks)), np.int64, len(chunks))
+        spaced = np.fromiter(map(str.startswith, chunks, repeat(" ")), bool, len(chunks)) & ~open_end
         alone, parts, total = np.flatnonzero(~spaced).tolist(), [np.zeros(0, np.uint32)], 0
         many = np.flatnonzero(spaced)
         for s in range(0, len(many), TOGETHER):
@@ -110,16 +116,39 @@ class ChunkEncoder:
             total += len(parts[-1])
         return np.concatenate(parts), starts, lengths
 
-    def _learn(self) -> None:
+    def _marked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """New chunks that end in marks after a letter or digit: their number among the new ones,
+        and the places of the chunk before the marks and of the marks, which may be new too."""
+        numbers, cores, marks = [], [], []
         chunks = self.fresh[1:]
-        if not chunks:
+        for k, (chunk, core) in enumerate(zip(chunks, list(map(str.rstrip, chunks, repeat(END_MARKS))))):
+            if len(core) < len(chunk) and core[-1:].isalnum():
+                numbers.append(k)
+                cores.append(self.later[core[1:]] if core[0] == " " else self.first[core])
+                marks.append(self.first[chunk[len(core) :]])
+        return np.array(numbers, np.int64), np.array(cores, np.int64), np.array(marks, np.int64)
+
+    def _learn(self) -> None:
+        if len(self.fresh) == 1:
             return
+        old = len(self.lengths)
+        marked, cores, marks = self._marked()
+        chunks = self.fresh[1:]
         del self.fresh[1:]
-        ends = np.fromiter((c == " " or c[-1:].isspace() for c in chunks), bool, len(chunks))
-        flat, starts, lengths = self._ids(chunks, ends)
-        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        ends = np.fromiter(map(str.isspace, map(_LAST, chunks)), bool, len(chunks))
+        plain = np.ones(len(chunks), bool)
+        plain[marked] = False
+        at = np.flatnonzero(plain)
+        flat, starts, lengths = self._ids([chunks[k] for k in at.tolist()], ends[at])
+        self.starts = np.concatenate([self.starts, np.zeros(len(chunks), np.int64)])
+        self.lengths = np.concatenate([self.lengths, np.zeros(len(chunks), np.int64)])
+        self.starts[old + at], self.lengths[old + at] = len(self.flat) + starts, lengths
         self.flat = np.concatenate([self.flat, flat])
+        both = np.stack([cores, marks], axis=1).ravel()
+        joined = self.lengths[cores] + self.lengths[marks]
+        self.starts[old + marked] = len(self.flat) + offsets(joined)[:-1]
+        self.flat = np.concatenate([self.flat, gather(self.flat, self.starts[both], self.lengths[both])])
+        self.lengths[old + marked] = joined
         self.open_end = np.concatenate([self.open_end, ends])
         self.used = np.concatenate([self.used, np.zeros(len(chunks), np.int64)])
         self.chars += sum(map(len, chunks))

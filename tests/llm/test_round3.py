@@ -289,3 +289,22 @@ def test_find_one_edit():
     assert sorted(set(variants._find(rests, "abc"))) == ["ab", "abcd", "abd", "bc", "xbc"]
     assert sorted(set(variants._find(rests, ""))) == []
     assert sorted(set(variants._find(["a"], ""))) == ["a"]
+
+
+def test_end_marks_are_not_encoded_again():
+    """Ids are the library's; a word met with other marks is not given to it again."""
+    from pathkin.llm.queries import BYTE_BPE
+    from pathkin.llm.tokens import ChunkEncoder
+
+    encoder = ChunkEncoder(BYTE_BPE)
+    texts = [
+        "Word, word. a word; word! word", "word, word", "a.", ". a ..b. ,", "x², y².\n z!?", "it's; don't, 's.",
+        "a\n. b", "ß. é, e\u0301. ١٢,", "<|endoftext|>. <|endoftext|>,a", "  two  spaces. ", "語、 ª, ⅷ! _. a_;",
+    ]
+    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == whole
+    given = []
+    ids_of, encoder._ids = encoder._ids, lambda chunks, ends: (given.extend(chunks), ids_of(chunks, ends))[1]
+    encoder.clear()
+    assert [ids.tolist() for ids in encoder.encode(texts)] == whole
+    assert [c for c in given if c.startswith(" word")] == [" word"]

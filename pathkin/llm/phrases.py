@@ -1,24 +1,33 @@
-"""Phrase collocations by trie counting inside tasks, merged by Spark.
+"""Phrase collocations by trie counting inside tasks, level by level, merged by Spark.
 
-Each task counts the word n-grams (1 to 5 words) of its texts in a shallow trie:
-the first word (with the language) leads to a hash container of the rest of the
+Phrases are counted by size. Each task counts its phrases in a shallow trie: the
+first word (with the language) leads to a hash container of the rest of the
 phrase. A container that grows past ``BURST`` entries bursts into containers
 under its second word. When the trie holds more than ``LIMIT`` entries, whole
 first-word subtrees, largest first, are written out as sorted runs and dropped,
 so a task's memory stays bounded whatever its input. Spark adds up the runs of
-all tasks by phrase (partial sums before the shuffle), and the rest - candidates,
-cuts, scores, containment and ranks - are joins and windows over the counts of
-frequent phrases.
-
-Scores are floor(1000 * a * n / (l * r)) in 38-digit decimals, so products larger
-than 64 bits stay exact.
+all tasks by phrase (partial sums before the shuffle).
+
+A phrase of count ``least`` has no part of a smaller count. So after the words,
+only places whose two parts of one word less are both frequent are counted: few
+of the distinct phrases of a text ever leave a task. What is frequent is told by
+a bit for the hash of each frequent phrase; phrases that share a bit by chance
+are counted too and dropped by their exact count. From three words on, passes
+read only the runs of words in which every pair is frequent, stored once.
+
+The rest - cuts, scores, containment and ranks - are joins and windows over the
+counts of frequent phrases. Scores are floor(1000 * a * n / (l * r)) in 38-digit
+decimals, so products larger than 64 bits stay exact.
 """
 
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pathkin.session import cut_lineage
@@ -36,6 +45,13 @@ LIMIT = 200_000
 SPILL_ROWS = 50_000
 #: Entries of one container before it bursts.
 BURST = 4096
+#: Bytes of text counted together, and distinct words remembered between groups.
+GROUP_BYTES = 4_000_000
+KEPT_WORDS = 500_000
+#: Bits for each frequent phrase, as a power of two, and the most bits of all (16 MB).
+SPARE_BITS, MOST_BITS = 4, 27
+#: Runs of frequent pairs stored in one row.
+ROW_RUNS = 200
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _PIECES = re.compile(PIECE_END)
@@ -84,7 +100,8 @@ class _Subtree:
         else:
             out += [((first, second, *k), c) for second, box in self.kids.items() for k, c in box.items()]
         out.sort()
-        return ((" ".join(p), len(p), c) for p, c in out)
+        space = b" " if isinstance(first, bytes) else " "
+        return ((space.join(p), len(p), c) for p, c in out)
 
 
 class PhraseTrie:
@@ -119,42 +136,209 @@ def _grams(words: list[str], counts: Counter) -> None:
         counts.update(zip(*(words[i:] for i in range(k))))
 
 
-SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("count", pa.int64())])
+# Bytes of a text: A-Z in lower case, a point for every piece end. A point stands in no word.
+_MARKED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz" + b"." * 9)
+_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 
-def _batch(rows: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SCHEMA)], schema=SCHEMA)
+def _hash(lang: str, word: bytes) -> int:
+    return int.from_bytes(blake2b(lang.encode() + b"\0" + word, digest_size=8).digest(), "little")
+
+
+def _joined(hashes: list[np.ndarray]) -> np.ndarray:
+    """Hashes of phrases from those of their first, second, ... words."""
+    out = hashes[0]
+    for h in hashes[1:]:
+        out = out * _ODD + h
+    return out
+
+
+def _bits_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The bit of each hash, of 2 ** ``bits``."""
+    return (((hashes ^ (hashes >> np.uint64(31))) * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
 
+class _Words(dict):
+    """A number from 1 for every word of a language, and the words' hashes; 0 is a piece end."""
+
+    def __init__(self, lang: str):
+        super().__init__({b".": 0})
+        self.lang, self.hashes = lang, [0]
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self.hashes)
+        self.hashes.append(_hash(self.lang, word))
+        return place
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+    """(lang, words and piece ends in order, their numbers, the hash of each number) of about ``GROUP_BYTES`` of text."""
+    texts: dict[str, list[bytes]] = {}
+    known: dict[str, _Words] = {}
+    size = 0
+
+    def groups():
+        for lang, parts in texts.items():
+            tokens = b".".join(parts).translate(_MARKED).replace(b".", b" . ").split()
+            words = known.get(lang) or known.setdefault(lang, _Words(lang))
+            places = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+            yield lang, tokens, places, np.array(words.hashes, np.uint64)
+        texts.clear()
+        if sum(map(len, known.values())) > KEPT_WORDS:
+            known.clear()
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    trie = PhraseTrie()
     for batch in batches:
-        rows = []
-        # One text's counts at a time: a task holds the trie and one text's phrases.
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            counts = Counter()
-            for words in pieces(text):
-                _grams(words, counts)
-            rows.extend(trie.add(lang, counts))
-            if len(rows) >= SPILL_ROWS:
-                yield _batch(rows)
-                rows = []
-        if rows:
-            yield _batch(rows)
-    rows = list(trie.spill())
-    if rows:
-        yield _batch(rows)
-
-
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, phrase, size, f): every phrase of 1 to 5 words with its number of occurrences per language.
-
-    A null lang counts as ``und``, a null text as empty. Phrases are space-joined.
+            if text:
+                texts.setdefault(lang, []).append(text)
+                size += len(text)
+                if size >= GROUP_BYTES:
+                    yield from groups()
+                    size = 0
+    yield from groups()
+
+
+def _frequent_at(places: np.ndarray, hashes: np.ndarray, size: int, known: tuple[int, bytes]) -> np.ndarray:
+    """For each place whether the phrase of ``size`` words that begins there may be frequent."""
+    bits, flags = known
+    n = max(len(places) - size + 1, 0)
+    inside = np.ones(n, bool)
+    for k in range(size):
+        inside &= places[k : k + n] > 0
+    at = np.flatnonzero(inside)
+    bit = _bits_of(_joined([hashes[places[at + k]] for k in range(size)]), bits)
+    inside[at] = (np.frombuffer(flags, np.uint8)[bit >> 3] >> (bit & 7)) & 1
+    return inside
+
+
+def _distinct(places: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """One of the places ``at`` for each distinct phrase of ``size`` words that begins there, and the phrase's count."""
+    n_words = int(places.max(initial=0)) + 1
+    keys = places[at]
+    for k in range(1, size):
+        if k > 1:
+            keys = np.unique(keys, return_inverse=True)[1]
+        keys = keys * n_words + places[at + k]
+    _, first, counts = np.unique(keys, return_index=True, return_counts=True)
+    return at[first], counts
+
+
+SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("count", pa.int64())])
+
+
+def _batch(rows: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SCHEMA)], schema=SCHEMA)
+
+
+def _count(size: int, known: Broadcast | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, rows = PhraseTrie(), []
+        for lang, tokens, places, hashes in _groups(batches):
+            if known is None:
+                at = np.flatnonzero(places)
+            else:
+                part = _frequent_at(places, hashes, size - 1, known.value)
+                at = np.flatnonzero(part[:-1] & part[1:])
+            first, counts = _distinct(places, at, size)
+            for s in range(0, len(first), SPILL_ROWS):
+                phrases = (tuple(tokens[i : i + size]) for i in first[s : s + SPILL_ROWS].tolist())
+                counted = dict(zip(phrases, counts[s : s + SPILL_ROWS].tolist()))
+                rows.extend((lang, phrase, n) for lang, phrase, _, n in trie.add(lang, counted))
+                if len(rows) >= SPILL_ROWS:
+                    yield _batch(rows)
+                    rows = []
+        rows.extend((lang, phrase, n) for lang, phrase, _, n in trie.spill())
+        for s in range(0, len(rows), SPILL_ROWS):
+            yield _batch(rows[s : s + SPILL_ROWS])
+
+    return run
+
+
+def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    return docs.select(
+        F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+        F.col(text).cast("string").cast("binary").alias("text"),
+    )
+
+
+def phrase_counts(texts: DataFrame, size: int, known: Broadcast | None = None) -> DataFrame:
+    """(lang, phrase, size, f): phrases of ``size`` words in ``texts`` (lang, text as bytes) with their number of occurrences.
+
+    With ``known`` (``frequent_bits`` of the phrases of one word less), only phrases
+    of which both parts of one word less are known; without, ``size`` is 1.
+    """
+    runs = texts.mapInArrow(_count(size, known), "lang string, phrase binary, count long")
+    return runs.groupBy("lang", "phrase").agg(F.sum("count").alias("f")).select(
+        "lang", F.col("phrase").cast("string").alias("phrase"), F.lit(size).alias("size"), "f"
+    )
+
+
+def _bit_rows(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                [_hash(lang, word) for word in phrase.split(b" ")]
+                for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            ]
+            hashes = np.array(found, np.uint64).reshape(len(found), -1)
+            bit = _bits_of(_joined(list(hashes.T)), bits) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bit)], ["bit"])
+
+    return run
+
+
+def frequent_bits(phrases: DataFrame, n_phrases: int) -> Broadcast:
+    """A bit set for each of the ``phrases`` (lang, phrase), all of one size, by its hash; sent to all tasks.
+
+    At most ``2 ** MOST_BITS`` bits: more phrases than that would make tasks
+    count more than needed, and change no result.
     """
-    texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    runs = texts.mapInArrow(_count, "lang string, phrase string, size int, count long")
-    return runs.groupBy("lang", "phrase", "size").agg(F.sum("count").alias("f"))
+    bits = min(max(n_phrases, 1).bit_length() + SPARE_BITS, MOST_BITS)
+    rows = phrases.select("lang", F.col("phrase").cast("binary")).mapInArrow(_bit_rows(bits), "bit long")
+    # Bits are put together in tasks, 4 KB at a time.
+    blocks = rows.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("flags")
+    )
+    flags = bytearray(max(1 << bits >> 3, 4096))
+    for block, part in blocks.toLocalIterator():
+        flags[(block - 1) * 4096 : block * 4096] = part
+    return phrases.sparkSession.sparkContext.broadcast((bits, bytes(flags)))
+
+
+def _runs(known: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, tokens, places, hashes in _groups(batches):
+            pair = np.concatenate([[False], _frequent_at(places, hashes, 2, known.value), [False]]).astype(np.int8)
+            starts, ends = np.flatnonzero(np.diff(pair) > 0), np.flatnonzero(np.diff(pair) < 0) + 1
+            long = ends - starts >= 3
+            found = [b" ".join(tokens[s:e]) for s, e in zip(starts[long].tolist(), ends[long].tolist())]
+            rows = [b".".join(found[s : s + ROW_RUNS]) for s in range(0, len(found), ROW_RUNS)]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array(rows, pa.binary())], ["lang", "text"])
+
+    return run
+
+
+def frequent_runs(texts: DataFrame, known: Broadcast) -> DataFrame:
+    """(lang, text): all runs of 3 words or more of ``texts`` in which every pair is ``known``, as pieces of texts."""
+    return texts.mapInArrow(_runs(known), "lang string, text binary")
+
+
+def frequent_phrases(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """All words of ``texts`` and all phrases of up to ``LONGEST`` words with at least ``least`` occurrences; both
+    (lang, phrase, size, f) and stored."""
+    words = cut_lineage(phrase_counts(texts, 1))
+    frequent = found = words.filter(F.col("f") >= least)
+    for size in range(2, LONGEST + 1):
+        n = found.count()
+        if not n:
+            break
+        known = frequent_bits(found, n)
+        if size == 3:
+            texts = cut_lineage(frequent_runs(texts, known))
+        found = cut_lineage(phrase_counts(texts, size, known).filter(F.col("f") >= least))
+        frequent = frequent.unionByName(found)
+    return words, frequent
 
 
 def _words(column: str):
@@ -172,10 +356,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     ``top`` of each language. Empty texts and tables give no rows; repeated rows
     count as often as they stand; other columns are ignored.
     """
-    # One pass: the frequent phrases and every word, whose counts add up to n.
-    counts = cut_lineage(phrase_counts(docs, text, lang).filter((F.col("f") >= least) | (F.col("size") == 1)))
-    n = counts.filter("size = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = counts.filter(F.col("f") >= least)
+    words, frequent = frequent_phrases(_texts(docs, text, lang), least)
+    n = words.groupBy("lang").agg(F.sum("f").alias("n"))
     cands = frequent.filter("size >= 2").select("lang", "phrase", "size", F.col("f").alias("a"))
     cut = cands.select("lang", "phrase", "a", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"), _words("phrase").alias("w"))
     cut = cut.select(

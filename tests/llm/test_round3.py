@@ -308,3 +308,27 @@ def test_end_marks_are_not_encoded_again():
     encoder.clear()
     assert [ids.tolist() for ids in encoder.encode(texts)] == whole
     assert [c for c in given if c.startswith(" word")] == [" word"]
+
+
+def test_rare_phrases_do_not_leave_their_tasks(spark):
+    """From two words on, only phrases whose parts are frequent are counted; shared bits change no result."""
+    from pathkin.llm import phrases
+
+    rows = [(i, f"aa bb cc r{i} s{i} aa bb cc; dd t{i} aa,bb", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    texts = phrases._texts(docs, "text", "lang")
+    words = phrases.phrase_counts(texts, 1)
+    assert words.count() == 4 + 3 * 300
+    frequent = words.filter("f >= 100")
+    known = phrases.frequent_bits(frequent, frequent.count())
+    pairs = {r.phrase: r.f for r in phrases.phrase_counts(texts, 2, known).collect()}
+    assert pairs["aa bb"] == pairs["bb cc"] == 600 and len(pairs) < 300
+    runs = phrases.frequent_runs(texts, phrases.frequent_bits(spark.createDataFrame([("en", "aa bb"), ("en", "bb cc")], "lang string, phrase string"), 2))
+    assert {p for r in runs.collect() for p in bytes(r.text).split(b".")} >= {b"aa bb cc"}
+    want = sorted(tuple(r) for r in phrases.collocations(docs).collect())
+    old = phrases.MOST_BITS
+    phrases.MOST_BITS = 1
+    try:
+        assert sorted(tuple(r) for r in phrases.collocations(docs).collect()) == want
+    finally:
+        phrases.MOST_BITS = old

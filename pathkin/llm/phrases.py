@@ -12,8 +12,9 @@ A phrase of count ``least`` has no part of a smaller count. So after the words,
 only places whose two parts of one word less are both frequent are counted: few
 of the distinct phrases of a text ever leave a task. What is frequent is told by
 a bit for the hash of each frequent phrase; phrases that share a bit by chance
-are counted too and dropped by their exact count. From three words on, passes
-read only the runs of words in which every pair is frequent, stored once.
+are counted too and dropped by their exact count. Pairs are many, so they are first
+counted by bit alone; all later passes read only the runs of words in which the
+bit of every pair is frequent, stored once.
 
 The rest - cuts, scores, containment and ranks - are joins and windows over the
 counts of frequent phrases. Scores are floor(1000 * a * n / (l * r)) in 38-digit
@@ -45,8 +46,9 @@ LIMIT = 200_000
 SPILL_ROWS = 50_000
 #: Entries of one container before it bursts.
 BURST = 4096
-#: Bytes of text counted together, and distinct words remembered between groups.
-GROUP_BYTES = 4_000_000
+#: Bytes of text read together, words counted together, and distinct words remembered between groups.
+READ_BYTES = 1_000_000
+GROUP_WORDS = 2_000_000
 KEPT_WORDS = 500_000
 #: Bits for each frequent phrase, as a power of two, and the most bits of all (16 MB).
 SPARE_BITS, MOST_BITS = 4, 27
@@ -172,29 +174,41 @@ class _Words(dict):
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
-    """(lang, words and piece ends in order, their numbers, the hash of each number) of about ``GROUP_BYTES`` of text."""
+    """(lang, its words, their numbers in the order of the texts, the hash of each number) of up to about ``GROUP_WORDS`` words."""
     texts: dict[str, list[bytes]] = {}
     known: dict[str, _Words] = {}
-    size = 0
+    places: dict[str, list[np.ndarray]] = {}
 
-    def groups():
+    def read() -> int:
+        """Words of the texts to numbers; how many there are."""
+        n = 0
         for lang, parts in texts.items():
-            tokens = b".".join(parts).translate(_MARKED).replace(b".", b" . ").split()
+            tokens = b".".join([*parts, b""]).translate(_MARKED).replace(b".", b" . ").split()
             words = known.get(lang) or known.setdefault(lang, _Words(lang))
-            places = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-            yield lang, tokens, places, np.array(words.hashes, np.uint64)
+            places.setdefault(lang, []).append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
+            n += len(tokens)
         texts.clear()
-        if sum(map(len, known.values())) > KEPT_WORDS:
+        return n
+
+    def groups():
+        for lang, parts in places.items():
+            yield lang, list(known[lang]), np.concatenate(parts), np.array(known[lang].hashes, np.uint64)
+        places.clear()
+        if sum(map(len, known.values())) > KEPT_WORDS // 2:
             known.clear()
 
+    size = n_words = 0
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             if text:
                 texts.setdefault(lang, []).append(text)
                 size += len(text)
-                if size >= GROUP_BYTES:
-                    yield from groups()
-                    size = 0
+                if size >= READ_BYTES:
+                    n_words, size = n_words + read(), 0
+                    if n_words >= GROUP_WORDS or sum(map(len, known.values())) > KEPT_WORDS:
+                        yield from groups()
+                        n_words = 0
+    read()
     yield from groups()
 
 
@@ -214,7 +228,7 @@ def _frequent_at(places: np.ndarray, hashes: np.ndarray, size: int, known: tuple
 def _distinct(places: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """One of the places ``at`` for each distinct phrase of ``size`` words that begins there, and the phrase's count."""
     n_words = int(places.max(initial=0)) + 1
-    keys = places[at]
+    keys = places[at].astype(np.int64)
     for k in range(1, size):
         if k > 1:
             keys = np.unique(keys, return_inverse=True)[1]
@@ -234,7 +248,7 @@ def _batch(rows: list) -> pa.RecordBatch:
 def _count(size: int, known: Broadcast | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, rows = PhraseTrie(), []
-        for lang, tokens, places, hashes in _groups(batches):
+        for lang, words, places, hashes in _groups(batches):
             if known is None:
                 at = np.flatnonzero(places)
             else:
@@ -242,7 +256,8 @@ def _count(size: int, known: Broadcast | None):
                 at = np.flatnonzero(part[:-1] & part[1:])
             first, counts = _distinct(places, at, size)
             for s in range(0, len(first), SPILL_ROWS):
-                phrases = (tuple(tokens[i : i + size]) for i in first[s : s + SPILL_ROWS].tolist())
+                part = first[s : s + SPILL_ROWS]
+                phrases = zip(*(map(words.__getitem__, places[part + k].tolist()) for k in range(size)))
                 counted = dict(zip(phrases, counts[s : s + SPILL_ROWS].tolist()))
                 rows.extend((lang, phrase, n) for lang, phrase, _, n in trie.add(lang, counted))
                 if len(rows) >= SPILL_ROWS:
@@ -274,6 +289,20 @@ def phrase_counts(texts: DataFrame, size: int, known: Broadcast | None = None) -
     )
 
 
+def _hashed(known: Broadcast, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, places, hashes in _groups(batches):
+            word = _frequent_at(places, hashes, 1, known.value)
+            at = np.flatnonzero(word[:-1] & word[1:])
+            pairs = _joined([hashes[places[at]], hashes[places[at + 1]]])
+            bit, counts = np.unique(_bits_of(pairs, bits), return_counts=True)
+            for s in range(0, len(bit), SPILL_ROWS):
+                part = slice(s, s + SPILL_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(bit[part]), pa.array(counts[part])], ["bit", "count"])
+
+    return run
+
+
 def _bit_rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,39 +317,60 @@ def _bit_rows(bits: int):
     return run
 
 
-def frequent_bits(phrases: DataFrame, n_phrases: int) -> Broadcast:
-    """A bit set for each of the ``phrases`` (lang, phrase), all of one size, by its hash; sent to all tasks.
+def _bits_for(n_phrases: int) -> int:
+    return min(max(n_phrases, 1).bit_length() + SPARE_BITS, MOST_BITS)
 
-    At most ``2 ** MOST_BITS`` bits: more phrases than that would make tasks
-    count more than needed, and change no result.
-    """
-    bits = min(max(n_phrases, 1).bit_length() + SPARE_BITS, MOST_BITS)
-    rows = phrases.select("lang", F.col("phrase").cast("binary")).mapInArrow(_bit_rows(bits), "bit long")
+
+def _sent(rows: DataFrame, bits: int) -> Broadcast:
+    """The bits ``rows`` (bit) set, of 2 ** ``bits``; sent to all tasks."""
     # Bits are put together in tasks, 4 KB at a time.
     blocks = rows.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("block")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("flags")
     )
     flags = bytearray(max(1 << bits >> 3, 4096))
-    for block, part in blocks.toLocalIterator():
+    for block, part in blocks.collect():
         flags[(block - 1) * 4096 : block * 4096] = part
-    return phrases.sparkSession.sparkContext.broadcast((bits, bytes(flags)))
+    return rows.sparkSession.sparkContext.broadcast((bits, bytes(flags)))
+
+
+def frequent_bits(phrases: DataFrame, n_phrases: int) -> Broadcast:
+    """A bit set for each of the ``phrases`` (lang, phrase), all of one size, by its hash; sent to all tasks.
+
+    At most ``2 ** MOST_BITS`` bits: more phrases than that would make tasks
+    count more than needed, and change no result.
+    """
+    bits = _bits_for(n_phrases)
+    rows = phrases.select("lang", F.col("phrase").cast("binary")).mapInArrow(_bit_rows(bits), "bit long")
+    return _sent(rows, bits)
+
+
+def pair_bits(texts: DataFrame, words: Broadcast, least: int) -> Broadcast:
+    """The bits of all pairs of known ``words`` that stand ``least`` times or more in ``texts``, counted by bit alone.
+
+    Pairs that share a bit are counted as one, so that the bits of some rarer pairs are set as well.
+    """
+    counts = texts.mapInArrow(_hashed(words, MOST_BITS), "bit long, count long")
+    return _sent(counts.groupBy("bit").agg(F.sum("count").alias("f")).filter(F.col("f") >= least).select("bit"), MOST_BITS)
 
 
 def _runs(known: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, tokens, places, hashes in _groups(batches):
+        for lang, words, places, hashes in _groups(batches):
             pair = np.concatenate([[False], _frequent_at(places, hashes, 2, known.value), [False]]).astype(np.int8)
             starts, ends = np.flatnonzero(np.diff(pair) > 0), np.flatnonzero(np.diff(pair) < 0) + 1
-            long = ends - starts >= 3
-            found = [b" ".join(tokens[s:e]) for s, e in zip(starts[long].tolist(), ends[long].tolist())]
-            rows = [b".".join(found[s : s + ROW_RUNS]) for s in range(0, len(found), ROW_RUNS)]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array(rows, pa.binary())], ["lang", "text"])
+            for k in range(0, len(starts), SPILL_ROWS):
+                found = [
+                    b" ".join(map(words.__getitem__, places[s:e].tolist()))
+                    for s, e in zip(starts[k : k + SPILL_ROWS].tolist(), ends[k : k + SPILL_ROWS].tolist())
+                ]
+                rows = [b".".join(found[s : s + ROW_RUNS]) for s in range(0, len(found), ROW_RUNS)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array(rows, pa.binary())], ["lang", "text"])
 
     return run
 
 
 def frequent_runs(texts: DataFrame, known: Broadcast) -> DataFrame:
-    """(lang, text): all runs of 3 words or more of ``texts`` in which every pair is ``known``, as pieces of texts."""
+    """(lang, text): all runs of 2 words or more of ``texts`` in which every pair is ``known``, as pieces of texts."""
     return texts.mapInArrow(_runs(known), "lang string, text binary")
 
 
@@ -334,8 +384,8 @@ def frequent_phrases(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame
         if not n:
             break
         known = frequent_bits(found, n)
-        if size == 3:
-            texts = cut_lineage(frequent_runs(texts, known))
+        if size == 2:
+            texts = cut_lineage(frequent_runs(texts, pair_bits(texts, known, least)))
         found = cut_lineage(phrase_counts(texts, size, known).filter(F.col("f") >= least))
         frequent = frequent.unionByName(found)
     return words, frequent

@@ -184,3 +184,81 @@ def test_slots(spark):
     frame = spark.createDataFrame([(r,) for r in relations], "r string")
     got = [r[0] for r in frame.select(pk.slot_of(F.col("r"))).collect()]
     assert got == ["X", "X", "X", "X", "X", "Y", "Y", "Y"]
+
+
+@pytest.mark.parametrize("fillers", ["filler", "noun"])
+def test_code_of_counting_is_compiled(spark, fillers):
+    """No method of the generated code is too large for Spark (64 KB) or the JVM (8000 bytes)."""
+    counts = pk.count_corpus(lines_of(spark, ["cut/VB/ROOT/0 plum/NN/dobj/1"]), fillers)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = counts._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.length())]
+    assert sizes and all(0 < size < 8000 for size in sizes), sizes
+
+
+def test_report_is_the_rest_of_extraction(spark, rows):
+    """Each line, deep and odd ones too, either gives a fact or stands in the report."""
+    tags, heads = ["VB", "IN", "NN", "PRP"], ["0", "1", "2", "3", "-1", "150", " ", "x"]
+    texts = [
+        " ".join(f"w{k}/{tags[(n >> k) % 4]}/{'ROOT' if k == n % 5 else 'dep'}/{heads[(n * (k + 1)) % 8]}" for k in range(4))
+        for n in range(120)
+    ]
+    frame = lines_of(spark, texts)
+    facts = pk.extract_arcs(frame.select(F.col("value")))
+    assert facts.count() > 0
+    silent = {t for t in texts if not pk_facts(t)}
+    assert {v for v, _ in rows(pk.extraction_report(frame))} == silent
+    assert sorted(r.filler for r in facts.select("filler").collect()) == sorted(
+        f for t in texts for f in pk_facts(t)
+    )
+
+
+def pk_facts(line):
+    """Fillers of ``line`` that hang on a verb, by plain Python."""
+    tokens = []
+    for piece in line.split():
+        word, pos, dep, *head = piece.split("/")
+        number = 0 if not head or not head[0].strip() else head[0]
+        try:
+            tokens.append((word, pos, dep, int(number)))
+        except ValueError:
+            pass
+    n, lean = len(tokens), 0
+    for i, (_, _, dep, h) in enumerate(tokens):
+        if not (h == 0 and dep == "ROOT"):
+            lean += (1 <= h <= n and h - 1 != i) - (0 <= h < n and h != i)
+
+    def up(i):
+        if i is None:
+            return None
+        _, _, dep, h = tokens[i]
+        if lean > 0:
+            at = h - 1
+        elif h != i and not (h == 0 and dep == "ROOT"):
+            at = h
+        else:
+            return None
+        return at if 0 <= at < n else None
+
+    def is_(i, tag):
+        return i is not None and tokens[i][1] == tag
+
+    found = []
+    for i, (word, pos, _, _) in enumerate(tokens):
+        if pos in ("NN", "PRP") and (is_(up(i), "VB") or is_(up(i), "IN") and is_(up(up(i)), "VB")):
+            found.append(word)
+    return found
+
+
+def test_report_filters_lines_once_made(spark):
+    """The filter parses made lines; below their making, each row would carry its whole text."""
+    texts = spark.createDataFrame([("a b c d",)], "t string").select(F.split("t", " ").alias("w"))
+    made = texts.select("w", F.posexplode("w").alias("i", "w1")).select(
+        F.concat("w1", F.lit("/NN/nsubj/"), F.get("w", F.col("i") + 1)).alias("value")
+    )
+    plan = pk.extraction_report(made)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if line.strip(" +-:").startswith("Filter")]
+    assert filters and not any("w#" in line for line in filters), filters

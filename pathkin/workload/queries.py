@@ -264,25 +264,30 @@ def read_gold(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("path_a", "path_b", "label")
 
 
+def _gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold pairs, stored: all that scores them reads them several times."""
+    return cut_lineage(inputs.gold(spark, folder))
+
+
 def score_gold(spark: SparkSession, folder: str) -> DataFrame:
-    scored = pk.score_gold(inputs.gold(spark, folder), _system(spark, folder))
+    scored = pk.score_gold(_gold(spark, folder), _system(spark, folder))
     return scored.select("gold_row", "path_a", "path_b", "label", _round("score"))
 
 
 def score_gold_dups(spark: SparkSession, folder: str) -> DataFrame:
-    scored = pk.score_gold(inputs.gold(spark, folder), _system(spark, folder), dedupe=False)
+    scored = pk.score_gold(_gold(spark, folder), _system(spark, folder), dedupe=False)
     return scored.select("gold_row", "path_a", "path_b", "label", _round("score"))
 
 
 def gold_unmatched(spark: SparkSession, folder: str) -> DataFrame:
-    scored = pk.score_gold(inputs.gold(spark, folder), _system(spark, folder))
+    scored = cut_lineage(pk.score_gold(_gold(spark, folder), _system(spark, folder)))
     negative = scored.filter(F.col("label") == 0)
     return pk.gold_without(negative, negative.filter(F.col("score") > 0)).drop("score")
 
 
 def score_gold_direct(spark: SparkSession, folder: str) -> DataFrame:
     """Gold pairs by their own scores; no other pair is scored."""
-    gold = cut_lineage(inputs.gold(spark, folder))
+    gold = _gold(spark, folder)
     scored = pk.score_gold(gold, pk.score_pairs(gold, _mi(spark, folder)))
     return scored.select("gold_row", "path_a", "path_b", "label", _round("score"))
 

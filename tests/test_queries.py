@@ -41,3 +41,10 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["score_gold", "score_gold_dups", "gold_unmatched"])
+def test_gold_pairs_are_made_once(spark, name):
+    """Gold pairs come from a join of order lines; the scoring reads them several times."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan

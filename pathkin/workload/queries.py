@@ -18,7 +18,9 @@ def _round(col: str | Column, name: str | None = None) -> Column:
 
 
 def _mi(spark: SparkSession, folder: str) -> DataFrame:
-    return cut_lineage(pk.mutual_information(inputs.triples(spark, folder), unique=True))
+    """Mutual information of all triples, which are read several times and so stored first."""
+    triples = cut_lineage(inputs.triples(spark, folder))
+    return cut_lineage(pk.mutual_information(triples, unique=True))
 
 
 def _system(spark: SparkSession, folder: str) -> DataFrame:

@@ -48,3 +48,14 @@ def test_gold_pairs_are_made_once(spark, name):
     """Gold pairs come from a join of order lines; the scoring reads them several times."""
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan
+
+
+def test_triples_are_made_once(spark, monkeypatch):
+    """Triples come from a join of order lines; mutual information reads them several times."""
+    import pathkin as pk
+
+    seen, real = [], pk.mutual_information
+    monkeypatch.setattr(pk, "mutual_information", lambda t, **more: seen.append(t) or real(t, **more))
+    QUERIES["path_totals"](spark, FOLDER)
+    plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in seen]
+    assert plans and not any("l_partkey" in plan for plan in plans)

@@ -1,8 +1,11 @@
-"""Small numpy helpers for rows of different lengths laid out one after the other."""
+"""Small numpy helpers for rows of different lengths laid out one after the other, and for tasks on them."""
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 
 def offsets(lengths: np.ndarray) -> np.ndarray:
@@ -30,3 +33,26 @@ def in_groups(texts: Iterable[str], chars: int) -> Iterator[list[str]]:
             group, size = [], 0
     if group:
         yield group
+
+
+def give_back() -> None:
+    """Give memory that is free in this process back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def freed(run: Callable) -> Callable:
+    """The task function ``run`` over batches, after which its free memory is given back.
+
+    Spark keeps Python workers for later stages; what one stage freed would add
+    to what the next one takes.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return task

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from pathkin.llm.arrays import freed, give_back
 from pathkin.llm.components import connected_components
 from pathkin.session import cut_lineage
 
@@ -200,6 +201,9 @@ def _verify(similarity: float, bands: int):
                 if a != b:
                     root[b] = a
                     forest.append((int(node[i]), int(node[j])))
+        # A worker goes on to other cells; the sets of this one are not kept beside theirs.
+        del table, sets, hashes
+        give_back()
         some = np.flatnonzero(links)
         a = [*node[some].tolist(), *(x for x, _ in forest)]
         b = [*[None] * len(some), *(y for _, y in forest)]
@@ -254,7 +258,7 @@ def similar_documents(
     """
     bands = bands_for(similarity, recall, rows)
     plain = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    sketched = cut_lineage(plain.mapInArrow(_sketch(n, bands, rows), "doc_id bigint, node bigint, bands array<bigint>"))
+    sketched = cut_lineage(plain.mapInArrow(freed(_sketch(n, bands, rows)), "doc_id bigint, node bigint, bands array<bigint>"))
     nodes = cut_lineage(
         sketched.filter("node is not null")
         .groupBy("node")
@@ -270,7 +274,7 @@ def similar_documents(
     chosen = found.join(nodes, "node").select("node", F.coalesce("least_id", F.lit(-(2**63))).alias("id"))
     texts = plain.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "text")
     sets = texts.join(chosen, "id").select("node", "text")
-    sets = sets.mapInArrow(_sets(n), "node bigint, grams binary, size bigint").filter("grams is not null")
+    sets = sets.mapInArrow(freed(_sets(n)), "node bigint, grams binary, size bigint").filter("grams is not null")
     sets = cut_lineage(sets.dropDuplicates(["node"]).join(found, "node").join(nodes, "node"))
     wanted = sketched.filter("node is not null").select("node", "bands").join(found.select("node"), "node", "left_semi")
     sets = sets.join(wanted.dropDuplicates(["node"]), "node")

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from pathkin.llm.arrays import freed
 from pathkin.llm.tokens import chunk_encoder
 
 #: Remainders of documents that are packed together.
@@ -156,5 +157,5 @@ def pack_documents(
     if min(max_tokens, max_segments, max_loss) < 1:
         raise ValueError("every limit must be at least 1")
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        _pack(tokenizer, end_id, (max_tokens, max_segments, max_loss)), PIECES
+        freed(_pack(tokenizer, end_id, (max_tokens, max_segments, max_loss))), PIECES
     )

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from pathkin.llm.arrays import freed
 from pathkin.session import cut_lineage
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -161,7 +162,7 @@ def estimates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     x = [F.get("_x", F.lit(j)) for j in range(P)]
     quarters = F.array(*(F.percentile_approx(v, [0.25, 0.5, 0.75], F.lit(1000)) for v in x))
     start = grouped.groupBy("g_lang", "g_source").agg(quarters.alias("q"))
-    centres = cut_lineage(start.mapInPandas(_start, ESTIMATE))
+    centres = cut_lineage(start.mapInPandas(freed(_start), ESTIMATE))
     for _ in range(STEPS):
         far = grouped.join(centres, ["g_lang", "g_source"]).withColumn("d", distance())
         cut = cut_lineage(
@@ -176,7 +177,7 @@ def estimates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.array(*(F.sum(d[i] * d[j]) for i in range(P) for j in range(i, P))).alias("s2"),
             F.first("mu").alias("old"),
         )
-        centres = cut_lineage(sums.mapInPandas(_refine, ESTIMATE))
+        centres = cut_lineage(sums.mapInPandas(freed(_refine), ESTIMATE))
     return groups, centres
 
 

@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pathkin.llm.arrays import freed
 from pathkin.session import cut_lineage
 
 # Fixed patterns of the known forms, with the least length of each find.
@@ -246,7 +247,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame) -> DataFrame:
     """Known forms and candidates of every whole text and counts of its plain runs, stored."""
     plain = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return cut_lineage(plain.mapInArrow(_scan, SCAN))
+    return cut_lineage(plain.mapInArrow(freed(_scan), SCAN))
 
 
 def accepted_cells(scanned: DataFrame, false_share: float = FALSE_SHARE) -> frozenset[int]:

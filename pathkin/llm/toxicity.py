@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pathkin.llm.arrays import offsets
+from pathkin.llm.arrays import freed, offsets
 from pathkin.session import cut_lineage
 
 #: Bounds of the two samples that the model is fitted on.
@@ -199,13 +199,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         keys = keys if ids is None else keys.join(ids, "doc_id", "left_semi")
         picked = rows.join(F.broadcast(keys.orderBy("hash", "doc_id").limit(n)), ["doc_id", "hash"])
         picked = picked.select(F.lit(side).alias("side"), "doc_id", "hash", "text")
-        return picked.mapInArrow(_features, SAMPLED).dropDuplicates(["side", "doc_id", "hash"])
+        return picked.mapInArrow(freed(_features), SAMPLED).dropDuplicates(["side", "doc_id", "hash"])
 
     sampled = sample(marked.filter("toxic = 1").select("doc_id"), POSITIVES, 1).union(sample(None, UNLABELLED, 2))
     sampled = cut_lineage(sampled.select("side", "words"))
     counted = sampled.select(F.explode("words").alias("word")).groupBy("word").count()
     words = sorted(counted.filter(F.col("count") >= LEAST_TEXTS).select("word").toArrow().column("word").to_pylist())
-    found = sampled.mapInArrow(_numbered(words), "side int, ids binary").toArrow()
+    found = sampled.mapInArrow(freed(_numbered(words)), "side int, ids binary").toArrow()
     by_side: dict[int, list[bytes]] = {1: [], 2: []}
     for side, ids in zip(found.column("side").to_pylist(), found.column("ids").to_pylist()):
         by_side[side].append(ids)

@@ -62,6 +62,20 @@ def test_pairs_are_summed_on_numbers(mi):
     assert not [name for name in ("path#", "slot#", "word#") if name in summed]
 
 
+def test_pairs_are_not_shuffled_where_paths_share_few_features(spark, mi):
+    """There are as many pairs as partial scores; a shuffle of their sums fills the disk."""
+    rows = [(f"p{i}", "X", f"w{i % 2}", 1.0) for i in range(400)]
+    sparse = cut_lineage(spark.createDataFrame(rows, mi.schema))
+
+    def after_pairs_are_made(df):
+        plan = plan_of(df)
+        return plan[: plan.index("partial_sum((mi")]
+
+    assert "Exchange" not in after_pairs_are_made(pk.path_similarity(sparse))
+    # Seven paths share all features here: their few sums are shuffled, not copies of facts.
+    assert "Exchange" in after_pairs_are_made(pk.path_similarity(mi))
+
+
 def test_lines_are_parsed_once(mi):
     plan = plan_of(pk.count_corpus(mi.select(F.col("word").alias("value"))))
     assert plan.count("split(") <= 3

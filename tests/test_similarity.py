@@ -137,6 +137,13 @@ def test_similarity_is_the_same_for_every_block_size(mi_rows, skewed, block_rows
     assert pairs.filter("path_a >= path_b").count() == 0
 
 
+@pytest.mark.parametrize("tiles", [0, 1, 2, 7])
+def test_similarity_is_the_same_for_every_number_of_tiles(mi_rows, skewed, tiles):
+    _, sums, scores = brute(skewed)
+    close(as_map(pk.path_similarity(mi_rows, tiles=tiles)), scores)
+    close(as_map(pk.path_similarity(mi_rows, normalize=False, tiles=tiles)), sums)
+
+
 @pytest.mark.parametrize("block_rows", [1, 7, 1000])
 def test_asked_pairs_score_as_all_pairs_do(spark, mi_rows, skewed, block_rows):
     want = brute(skewed)[2]

@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import pathkin as pk
+from pathkin import fixed
 
 LINES = {
     "preposition": (
@@ -253,6 +256,30 @@ def pk_facts(line):
     return found
 
 
+def test_stem_takes_no_pattern(spark):
+    """Patterns are matched after a copy of the word into a Java string, up to eight a word."""
+    frame = spark.createDataFrame([("w",)], "w string").select(pk.stem(F.col("w")))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike" not in plan and "regexp" not in plan
+
+
+def test_stem_goes_by_the_endings(spark, rows):
+    """As the patterns of ``fixed.WORD_ENDINGS`` say, for every short body and every ending."""
+    letters = ["a", "b", "y", "i", "e", "s", "h", "\n", "\u00e9", "\U0001f600"]
+    bodies = [""] + [a + b + c for a in ["", *letters] for b in ["", *letters] for c in letters]
+    words = sorted({b + e for b in bodies for e in ("ing", "ed", "s", "es", "ies", "ied", "ying", "")})
+
+    def stem(word):
+        for pattern, kept in fixed.WORD_ENDINGS:
+            found = re.match(pattern.replace(r"\z", r"\Z"), word)
+            if found:
+                return found.group(1) + kept.replace("$1", "").replace("$2", found.group(2) if "$2" in kept else "")
+        return word
+
+    frame = spark.createDataFrame([(w,) for w in words], "w string").select("w", pk.stem(F.col("w")))
+    assert rows(frame) == sorted(((w, stem(w)) for w in words), key=repr)
+
+
 def test_report_filters_lines_once_made(spark):
     """The filter parses made lines; below their making, each row would carry its whole text."""
     texts = spark.createDataFrame([("a b c d",)], "t string").select(F.split("t", " ").alias("w"))

@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import pytest
@@ -280,6 +281,34 @@ def test_stem_goes_by_the_endings(spark, rows):
     assert rows(frame) == sorted(((w, stem(w)) for w in words), key=repr)
 
 
+def test_bases_and_parents_of_odd_heads(spark):
+    """Heads at both ends of the line, beyond them and at the ends of an int."""
+    heads = [0, 1, 2, 3, -1, 2**31 - 1, -(2**31)]
+    lines = [[(d, h) for d, h in zip(ds, hs)] for n in (1, 2, 3)
+             for ds in itertools.product(("ROOT", "x"), repeat=n) for hs in itertools.product(heads, repeat=n)]
+
+    def want(line):
+        n, lean = len(line), 0
+        for i, (dep, h) in enumerate(line):
+            if not (h == 0 and dep == "ROOT"):
+                lean += (1 <= h <= n and h - 1 != i) - (0 <= h < n and h != i)
+        at = [
+            h - 1 if lean > 0 else h if h != i and not (h == 0 and dep == "ROOT") else None
+            for i, (dep, h) in enumerate(line)
+        ]
+        return int(lean > 0), [a if a is not None and 0 <= a < n else None for a in at]
+
+    frame = spark.createDataFrame(
+        [(k, [("w", "p", d, h) for d, h in line]) for k, line in enumerate(lines)],
+        "k int, t array<struct<word string, pos string, dep string, head int>>",
+    )
+    base = pk.detect_head_base(F.col("t"))
+    frame = frame.select("k", "t", base.alias("base"))
+    for parents in (pk.resolve_parents(F.col("t")), pk.resolve_parents(F.col("t"), F.col("base"))):
+        got = frame.select("k", "base", parents["parent"].alias("p")).collect()
+        assert all((r.base, r.p) == want(lines[r.k]) for r in got) and len(got) == len(lines)
+
+
 def test_report_filters_lines_once_made(spark):
     """The filter parses made lines; below their making, each row would carry its whole text."""
     texts = spark.createDataFrame([("a b c d",)], "t string").select(F.split("t", " ").alias("w"))

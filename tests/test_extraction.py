@@ -309,6 +309,13 @@ def test_bases_and_parents_of_odd_heads(spark):
         assert all((r.base, r.p) == want(lines[r.k]) for r in got) and len(got) == len(lines)
 
 
+def test_report_searches_up_to_the_first_path(spark, rows):
+    frame = lines_of(spark, ["cut/VB/ROOT/0 plum/NN/dobj/1 pear/NN/dobj/1", "", "cut/VB/ROOT/0"])
+    report = pk.extraction_report(frame)
+    assert "exists(" in report._jdf.queryExecution().optimizedPlan().toString()
+    assert [v for v, _ in rows(report)] == ["", "cut/VB/ROOT/0"]
+
+
 def test_report_filters_lines_once_made(spark):
     """The filter parses made lines; below their making, each row would carry its whole text."""
     texts = spark.createDataFrame([("a b c d",)], "t string").select(F.split("t", " ").alias("w"))

@@ -76,6 +76,11 @@ def test_pairs_are_not_shuffled_where_paths_share_few_features(spark, mi):
     assert "Exchange" in after_pairs_are_made(pk.path_similarity(mi))
 
 
+def test_marginals_are_counted_once(mi):
+    triples = cut_lineage(mi.withColumn("cnt", F.col("mi").cast("long")))
+    assert "sum(cnt" not in plan_of(pk.mutual_information(triples, unique=True))
+
+
 def test_lines_are_parsed_once(mi):
     plan = plan_of(pk.count_corpus(mi.select(F.col("word").alias("value"))))
     assert plan.count("split(") <= 3

@@ -62,10 +62,11 @@ def test_pairs_are_summed_on_numbers(mi):
     assert not [name for name in ("path#", "slot#", "word#") if name in summed]
 
 
-def test_pairs_are_not_shuffled_where_paths_share_few_features(spark, mi):
+def test_pairs_are_not_shuffled_where_paths_share_few_features(spark, mi, monkeypatch):
     """There are as many pairs as partial scores; a shuffle of their sums fills the disk."""
     rows = [(f"p{i}", "X", f"w{i % 2}", 1.0) for i in range(400)]
     sparse = cut_lineage(spark.createDataFrame(rows, mi.schema))
+    monkeypatch.setattr("pathkin.operators.similarity.TASK_PAIRS", 10)
 
     def after_pairs_are_made(df):
         plan = plan_of(df)
